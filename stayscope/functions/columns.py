@@ -18,13 +18,11 @@ def require_columns(df: DataFrame, names: list[str]) -> None:
 
 
 def strict_number(text: Column, sql_type: str) -> Column:
-    """Cast trimmed text; blank becomes null, NaN becomes null, garbage raises."""
-    cleaned = F.nullif(F.trim(text), F.lit(""))
-    number = cleaned.try_cast(sql_type)
-    value = F.when(cleaned.isNull(), F.lit(None).cast(sql_type)).otherwise(
-        F.coalesce(number, F.raise_error(F.concat(F.lit("not a number: "), cleaned)).cast(sql_type))
-    )
-    return no_nan(value, sql_type) if sql_type in ("float", "double") else value
+    """Cast trimmed text; blank and NaN become null, garbage raises (ANSI mode).
+
+    Kept to one plain cast: optimiser rules copy such expressions into filters.
+    """
+    return no_nan(F.nullif(F.trim(text), F.lit("")).cast(sql_type), sql_type)
 
 
 def lenient_number(value: Column) -> Column:
@@ -33,7 +31,10 @@ def lenient_number(value: Column) -> Column:
 
 
 def no_nan(value: Column, sql_type: str = "double") -> Column:
-    return F.when(F.isnan(value), F.lit(None).cast(sql_type)).otherwise(value)
+    """NaN → null for floating types. In Spark SQL, NaN equals NaN."""
+    if sql_type not in ("float", "double"):
+        return value
+    return F.nullif(value, F.lit(float("nan")).cast(sql_type))
 
 
 def yes_no_to_bit(target: Column) -> Column:

@@ -36,8 +36,7 @@ def scoring_rows(df: DataFrame) -> DataFrame:
     extra = [c for c in out.columns if c not in wanted]
     return out.select(*wanted, *extra).select(
         *[
-            (C.no_nan(F.col(c).cast(types[c]), types[c]) if types.get(c) == "float"
-             else F.col(c).cast(types.get(c, "string"))).alias(c)
+            C.no_nan(F.col(c).cast(types.get(c, "string")), types.get(c, "string")).alias(c)
             for c in wanted
         ],
         *extra,

@@ -175,22 +175,14 @@ def permutation_importance(
             )
         )
     both = reduce(DataFrame.unionByName, donors)
-    swapped = F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("feature"),
-                F.array(
-                    *[
-                        F.get("donor" if i == j else "own", F.lit(j))
-                        for j in range(len(features))
-                    ]
-                ).alias("x"),
-            )
-            for i, f in enumerate(features)
-        ]
+    names = F.array(*[F.lit(f) for f in features])
+    swapped = F.concat(
+        F.expr("slice(own, 1, at)"),
+        F.array(F.get("donor", F.col("at"))),
+        F.expr("slice(own, at + 2, size(own))"),
     )
-    permuted = both.select("repeat", "y", F.inline(swapped)).select(
-        "repeat", "y", "feature", array_to_vector("x").alias("features")
+    permuted = both.select("repeat", "y", "own", "donor", F.posexplode(names).alias("at", "feature")).select(
+        "repeat", "y", "feature", array_to_vector(swapped).alias("features")
     )
     scored = models.score(fitted, permuted)
     return (

@@ -59,3 +59,9 @@ def score_accounts(rows: DataFrame, pipeline: PipelineModel) -> DataFrame:
     derived = derive_features(scoring_rows(rows))
     out = pipeline.transform(derived)
     return out.select(fixed.KEY, models.positive_probability(out).alias("p"))
+
+
+def with_facts(predicted: DataFrame, facts: DataFrame) -> DataFrame:
+    """Add the columns of the one-row ``facts`` table to every prediction."""
+    row = facts.select(F.struct("*").alias("f")).scalar()
+    return predicted.select("*", *[row.getField(c).alias(c) for c in facts.columns])

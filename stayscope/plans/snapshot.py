@@ -66,7 +66,7 @@ def customer_snapshot(spark: SparkSession, folder: str, cutoff: str = CUTOFF) ->
             days.alias("tenure_days"),
             "n_orders",
             (F.col("cents") / 100.0).alias("total_spend"),
-            F.round(F.col("cents") / F.col("n_orders") / 100.0, 2).alias("avg_spend"),
+            (F.expr("cents div n_orders") / 100.0).alias("avg_spend"),
             (F.col("n_urgent") > 0).alias("has_urgent"),
             "n_urgent",
             (F.col("n_after") == 0).cast("int").alias("churned"),

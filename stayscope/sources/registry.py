@@ -93,3 +93,14 @@ def best_model(
         .limit(1)
         .withColumnRenamed("_value", "value")
     )
+
+
+def facts(entry: DataFrame, threshold: float) -> DataFrame:
+    """Facts of one entry to show beside its scores; at most one row."""
+    return entry.select(
+        F.col("name").alias("model"),
+        "algorithm",
+        F.lit(float(threshold)).alias("threshold"),
+        F.size("feature_set").alias("n_features"),
+        "metrics",
+    ).limit(1)
