@@ -52,8 +52,8 @@ _LETTERS = " || ".join(
 
 RAW = f"""{FACTS}, base AS (
   SELECT customer.*, facts.*, coalesce(cents, 0) // 1000 AS paid,
-         CAST(coalesce(least(72, date_diff('day', CAST(first_order AS DATE), DATE '2000-09-01')
-              // 30), 0) AS INTEGER) AS months
+         CAST(least(72, coalesce(date_diff('day', CAST(first_order AS DATE), DATE '2000-09-01')
+              // 30, 0)) AS INTEGER) AS months
   FROM customer LEFT JOIN facts ON c_custkey = o_custkey),
 raw AS (
   SELECT lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || '-' || {_LETTERS} AS "customerID",
@@ -98,7 +98,11 @@ _TYPED = ", ".join(
 ACCOUNTS = f"{RAW}, acc AS (SELECT {_TYPED} FROM raw)"
 
 _COUNTED = " + ".join(f"CASE WHEN \"{c}\" = 'Yes' THEN 1 ELSE 0 END" for c in fixed.SERVICES)
-DERIVED = f"""{ACCOUNTS}, der0 AS (
+
+
+def _derive(source: str, out: str) -> str:
+    """CTE ``out``: the derived columns added to ``source``."""
+    return f"""{out}0 AS (
   SELECT *, CASE WHEN tenure < -1 THEN NULL WHEN tenure <= 12 THEN '0-12m'
               WHEN tenure <= 24 THEN '13-24m' WHEN tenure <= 48 THEN '25-48m'
               WHEN tenure <= 72 THEN '49-72m' END AS tenure_bucket,
@@ -107,9 +111,12 @@ DERIVED = f"""{ACCOUNTS}, der0 AS (
     "PaymentMethod" IN ('Bank transfer (automatic)', 'Credit card (automatic)') AS auto_payment,
     CAST(coalesce(CAST("TotalCharges" AS DOUBLE), 0.0) / greatest(CAST(tenure AS DOUBLE), 1.0)
       AS FLOAT) AS avg_monthly_spend
-  FROM acc),
-der AS (SELECT *, CAST(CAST("MonthlyCharges" AS DOUBLE) - CAST(avg_monthly_spend AS DOUBLE)
-          AS FLOAT) AS monthly_spend_gap FROM der0)"""
+  FROM {source}),
+{out} AS (SELECT *, CAST(CAST("MonthlyCharges" AS DOUBLE) - CAST(avg_monthly_spend AS DOUBLE)
+          AS FLOAT) AS monthly_spend_gap FROM {out}0)"""
+
+
+DERIVED = f"{ACCOUNTS}, {_derive('acc', 'der')}"
 
 SPLIT = f"""{DERIVED}, cls AS (
   SELECT "Churn" AS c, count(*) AS n_c FROM der GROUP BY 1),
@@ -374,10 +381,11 @@ _BROKEN = {
 _broken_columns = ", ".join(
     f'{_BROKEN[c]} AS "{c}"' if c in _BROKEN else f'"{c}"' for c in fixed.RAW_COLUMNS
 )
-BROKEN = (
-    f"{ACCOUNTS}, slotted AS (SELECT *, {SLOT} AS slot FROM acc), "
+_BREAK = (
+    f"slotted AS (SELECT *, {SLOT} AS slot FROM acc), "
     f"brk AS (SELECT {_broken_columns} FROM slotted)"
 )
+BROKEN = f"{ACCOUNTS}, {_BREAK}"
 
 _DOMAINS = {
     "gender": fixed.GENDERS, **{c: v for c, v in fixed.BINARY.items() if c != "gender"},
@@ -801,7 +809,7 @@ def _build() -> dict[str, str]:
         {r("CASE WHEN room <= 0 THEN 0 ELSE sqrt(phi / room) END")} AS cramers_v FROM cor"""
     fixed_sizes = {
         "numeric_summary": 3, "categorical_summary": 17, "target_distribution": 2, "cramers_v": 16,
-        "target_chart": 2, "missing_values": 1, "tenure_histogram": 60,
+        "target_chart": 2, "tenure_histogram": 60,
         "monthly_charges_histogram": 60, "total_charges_box": 2, "correlation_heatmap": 21,
     }
     varying = {
@@ -810,6 +818,10 @@ def _build() -> dict[str, str]:
     }
     q["exploration_tables"] = f"WITH {DERIVED} " + " UNION ALL ".join(
         [f"SELECT '{n}' AS report, CAST({c} AS BIGINT) AS n_rows" for n, c in fixed_sizes.items()]
+        + [
+            "SELECT 'missing_values', CASE WHEN count(\"TotalCharges\") < count(*) THEN 1 ELSE 0 END "
+            "FROM der"
+        ]
         + [
             f"SELECT '{n}', (SELECT count(*) FROM (SELECT DISTINCT \"{c}\" FROM der))"
             for n, c in varying.items()
@@ -883,7 +895,7 @@ def _build() -> dict[str, str]:
     )
     q["metric_bundle_documents"] = (
         "WITH s AS (SELECT doc_id, lang, quality AS y, "
-        "round(least(n_chars / 8000.0, 1.0), 4)::DOUBLE AS p FROM documents JOIN labels USING (doc_id)), "
+        "CAST(least(n_chars / 8192.0, 1.0) AS DOUBLE) AS p FROM documents JOIN labels USING (doc_id)), "
         f"{_curve('lang')} {_metrics('0.5', 'lang')}"
     )
     q["threshold_sweep"] = f"WITH {TIED}, {_sweep()} SELECT {_SWEEP_OUT} FROM sw"
@@ -973,6 +985,13 @@ def _build() -> dict[str, str]:
         f"{r(f'avg(CASE WHEN p >= {THRESHOLD} THEN 1 ELSE 0 END)')} AS churn_rate_predicted, "
         f"{r('avg(round(p, 6))')} AS mean_probability FROM s"
     )
+    fit, _, columns = _encoded(True)
+    q["streamed_predictions"] = (
+        f"WITH {SPLIT}, {fit}, {_BREAK}, good AS (SELECT * FROM brk WHERE {_GOOD}), "
+        f"{_derive('good', 'gd')}, "
+        f'enc AS (SELECT "customerID" AS kid, {columns} FROM gd, med, mom) '
+        f'SELECT kid AS "customerID", {r(f"1 / (1 + exp(-({_LINEAR_SQL})))", 3)} AS probability FROM enc'
+    )
     return q
 
 

@@ -709,7 +709,7 @@ def metric_bundle_by_region(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def metric_bundle_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Quality labels scored by document length."""
-    p = F.round(F.least(F.col("n_chars") / 8000.0, F.lit(1.0)), 4)
+    p = F.least(F.col("n_chars") / 8192.0, F.lit(1.0))
     scores = read_table(spark, folder, "documents").join(
         read_table(spark, folder, "labels"), "doc_id"
     ).select("doc_id", "lang", F.col("quality").alias("y"), p.alias("p"))

@@ -106,13 +106,16 @@ def subscriber_rows(spark: SparkSession, folder: str, cutoff: str = CUTOFF) -> D
 
     mapped = customer.join(facts, key == F.col("o_custkey"), "left").select(
         "*",
-        F.coalesce(
-            F.least(
-                F.lit(72),
+        # least() skips nulls, so the missing first order is settled inside.
+        F.least(
+            F.lit(72),
+            F.coalesce(
                 F.floor(F.datediff(F.to_date(F.lit(cutoff)), F.to_date("first_order")) / 30),
-            ).cast("int"),
-            F.lit(0),
-        ).alias("months"),
+                F.lit(0),
+            ),
+        )
+        .cast("int")
+        .alias("months"),
         F.expr("coalesce(cents, 0) div 1000").alias("paid"),
     )
     months = F.col("months")
