@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.functions import fixed
@@ -68,11 +68,20 @@ def _pairs(k: int) -> list[tuple[int, int]]:
 
 
 def _pearson(values: DataFrame, k: int) -> DataFrame:
-    """All pairs in one aggregate, no unpivot, no shuffle of rows."""
+    """All pairs in one aggregate, no unpivot, no shuffle of rows.
+
+    From the sums of squares of complete pairs: corr() itself raises on a
+    column without spread when ANSI mode is on.
+    """
+
+    def pair(i: int, j: int) -> Column:
+        x, y = F.col(f"c{i}"), F.col(f"c{j}")
+        spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+        return _ratio(F.regr_sxy(y, x), spread)
+
     cells = [
         F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"),
-            no_nan(F.corr(f"c{i}", f"c{j}")).alias("correlation"),
+            F.lit(i).alias("i"), F.lit(j).alias("j"), pair(i, j).alias("correlation")
         ).alias(f"s{n}")
         for n, (i, j) in enumerate(_pairs(k))
     ]

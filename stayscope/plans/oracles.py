@@ -898,6 +898,22 @@ def _build() -> dict[str, str]:
         "CAST(least(n_chars / 8192.0, 1.0) AS DOUBLE) AS p FROM documents JOIN labels USING (doc_id)), "
         f"{_curve('lang')} {_metrics('0.5', 'lang')}"
     )
+    lines = (
+        "s AS (SELECT l_linestatus, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, "
+        "CAST(round(1 / (1 + exp(-(l_discount * 8 - l_quantity / 40.0 - 0.5))), 6) AS DOUBLE) AS p "
+        "FROM lineitem)"
+    )
+    q["metric_bundle_lines"] = (
+        f"WITH {lines}, {_curve('l_linestatus')} {_metrics('0.35', 'l_linestatus')}"
+    )
+    q["group_metrics_lines"] = (
+        f"WITH {lines}, {_groups(['l_linestatus'], threshold=0.35)} SELECT {_GROUP_OUT} FROM gm"
+    )
+    q["band_counts_lines"] = (
+        f"WITH {lines} SELECT CASE WHEN p >= 0.35 THEN 'high' WHEN p >= 0.35 / 2.0 THEN 'medium' "
+        "ELSE 'low' END AS risk_band, CASE WHEN p >= 0.35 THEN 'churn' ELSE 'no_churn' END AS label, "
+        f"count(*) AS n, {r('sum(p)', 3)} AS probability FROM s GROUP BY 1, 2"
+    )
     q["threshold_sweep"] = f"WITH {TIED}, {_sweep()} SELECT {_SWEEP_OUT} FROM sw"
     q["threshold_sweep_by_region"] = (
         f"WITH {SMOOTH}, {_sweep('region')} SELECT region, {_SWEEP_OUT} FROM sw"

@@ -716,6 +716,27 @@ def metric_bundle_documents(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(evaluate.binary_metrics(scores, 0.5, ["lang"]))
 
 
+def line_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order line with a closed-form return score; the largest score frame."""
+    x = F.col("l_discount") * 8 - F.col("l_quantity") / 40.0 - 0.5
+    return read_table(spark, folder, "lineitem").select(
+        "l_linestatus",
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line"),
+        (F.col("l_returnflag") == "R").cast("int").alias("y"),
+        F.round(1 / (1 + F.exp(-x)), 6).alias("p"),
+    )
+
+
+@register
+def metric_bundle_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(evaluate.binary_metrics(line_scores(spark, folder), 0.35, ["l_linestatus"]))
+
+
+@register
+def group_metrics_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return tidy(fairness.group_metrics(line_scores(spark, folder), ["l_linestatus"], 0.35))
+
+
 @register
 def threshold_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(evaluate.threshold_sweep(snapshot_scores(spark, folder)))
@@ -861,6 +882,18 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(scoring.predictions(snapshot_scores(spark, folder), THRESHOLD, "c_custkey"))
 
 
+@register
+def band_counts_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Decisions on every order line, summed by band."""
+    predicted = scoring.predictions(line_scores(spark, folder), 0.35, "line")
+    return tidy(
+        predicted.groupBy("risk_band", "label").agg(
+            F.count("*").alias("n"), F.sum("probability").alias("probability")
+        ),
+        3,
+    )
+
+
 @register
 def batch_summary(spark: SparkSession, folder: str) -> DataFrame:
     predicted = scoring.predictions(smooth_scores(spark, folder), THRESHOLD, "c_custkey")

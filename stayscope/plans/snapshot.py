@@ -13,9 +13,30 @@ from pyspark.sql import functions as F
 
 CUTOFF = "2000-09-01"
 
+#: Declared schemas save the job that would read Parquet footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+        "l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+}
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _order_facts(spark: SparkSession, folder: str, cutoff: str) -> DataFrame:
@@ -25,7 +46,7 @@ def _order_facts(spark: SparkSession, folder: str, cutoff: str) -> DataFrame:
     third of all orders is one row per task.
     """
     orders = read_table(spark, folder, "orders")
-    end = F.to_timestamp(F.lit(cutoff))
+    end = F.lit(cutoff).cast("timestamp_ntz")
     before = F.col("o_orderdate") < end
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
 
