@@ -32,12 +32,18 @@ def correlation(
     values = df.select(
         *[no_nan(F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(columns)]
     )
-    if method == "pearson":
+    if method in ("spearman", "kendall") and len(columns) == 1:
+        upper = _diagonal(values, 1)
+    elif method == "pearson":
         upper = _pearson(values, len(columns))
     elif method == "spearman":
-        upper = _spearman(values, len(columns), scale)
+        upper = _diagonal(values, len(columns)).unionByName(
+            _spearman(values, len(columns), scale)
+        )
     elif method == "kendall":
-        upper = _kendall(values, len(columns), scale)
+        upper = _diagonal(values, len(columns)).unionByName(
+            _kendall(values, len(columns), scale)
+        )
     else:
         raise ValueError(f"unknown method {method!r}, use one of {METHODS}")
     names = F.array(*[F.lit(c) for c in columns])
@@ -88,6 +94,18 @@ def _pearson(values: DataFrame, k: int) -> DataFrame:
     return values.agg(*cells).select(F.inline(F.array(*[f"s{n}" for n in range(len(cells))])))
 
 
+def _diagonal(values: DataFrame, k: int) -> DataFrame:
+    """A column agrees with itself unless it has no spread: minimum and maximum tell."""
+    cells = [
+        F.struct(
+            F.lit(i).alias("i"), F.lit(i).alias("j"),
+            F.when(F.min(f"c{i}") < F.max(f"c{i}"), F.lit(1.0)).alias("correlation"),
+        ).alias(f"s{i}")
+        for i in range(k)
+    ]
+    return values.agg(*cells).select(F.inline(F.array(*[f"s{i}" for i in range(k)])))
+
+
 def _pair_cells(values: DataFrame, k: int) -> DataFrame:
     """(i, j, x, y, n): equal value pairs of complete rows, counted once."""
     pairs = F.array(
@@ -96,7 +114,7 @@ def _pair_cells(values: DataFrame, k: int) -> DataFrame:
                 F.lit(i).alias("i"), F.lit(j).alias("j"),
                 F.col(f"c{i}").alias("x"), F.col(f"c{j}").alias("y"),
             )
-            for i, j in _pairs(k)
+            for i, j in combinations(range(k), 2)
         ]
     )
     return (

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayscope.functions import fixed
@@ -117,36 +116,30 @@ def threshold_sweep(
 ) -> DataFrame:
     """Metrics at every threshold, from one pass over the rows.
 
-    A row falls to the number of thresholds it reaches; a reverse running sum
-    over the few bins gives the counts at each threshold.
+    A row falls to the number of thresholds it reaches; sums over the few bins
+    give the counts at each threshold.
     """
     grid = sorted({float(t) for t in thresholds})
     by = list(keys)
     bins = scores.groupBy(*by, _grid_bin(F.col("p"), grid).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(F.col("y").cast("long")).alias("tp")
     )
-    empty = (
-        bins.select(*by)
-        .distinct()
-        .select(*by, F.explode(F.sequence(F.lit(0), F.lit(len(grid)))).alias("bin"))
-        .select("*", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("tp"))
+    # At most len(thresholds) + 1 bins per key; the sums at a threshold run over that list.
+    listed = bins.groupBy(*by).agg(
+        F.collect_list(F.struct("bin", "n", "tp")).alias("_bins"),
+        F.sum("tp").alias("_pos"),
+        F.sum("n").alias("_rows"),
     )
-    full = (
-        bins.unionByName(empty)
-        .groupBy(*by, "bin")
-        .agg(F.sum("n").alias("n"), F.sum("tp").alias("tp"))
-    )
-    # At most len(thresholds) + 1 rows per key from here on.
-    whole = W.partitionBy(*(by or [F.lit(0)]))
-    running = whole.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, W.currentRow)
-    counted = full.select(
-        *by,
-        "bin",
-        F.sum("tp").over(running).alias("_hit"),
-        F.sum("n").over(running).alias("_flag"),
-        F.sum("tp").over(whole).alias("_pos"),
-        F.sum("n").over(whole).alias("_rows"),
-    ).filter(F.col("bin") >= 1)
+
+    def reached(field: str) -> Column:
+        return F.expr(
+            f"aggregate(_bins, 0L, (a, x) -> a + if(x.bin >= bin, x.{field}, 0L))"
+        )
+
+    counted = listed.select(
+        *by, "_pos", "_rows", "_bins",
+        F.explode(F.sequence(F.lit(1), F.lit(len(grid)))).alias("bin"),
+    ).select(*by, "_pos", "_rows", "bin", reached("tp").alias("_hit"), reached("n").alias("_flag"))
     hit, flag, pos, rows = (F.col(c) for c in ("_hit", "_flag", "_pos", "_rows"))
     precision, recall, f1, accuracy = _rates(hit, flag, pos, rows)
     return counted.select(

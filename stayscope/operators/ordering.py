@@ -25,29 +25,30 @@ from stayscope.session import fits_one_task
 
 _ALL = "_all"
 _RANGE = "_range"
+MAX_RANGES = 2000
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> list[list]:
     """Split points of each numeric column into about equal row counts.
 
     One aggregate over ``df``; at most ``ranges`` numbers per column come back.
+    The sketch of a task stays below a few hundred kilobytes per column.
     """
     ranges = ranges or default_ranges(df)
     grid = [i / ranges for i in range(1, ranges)]
     row = df.agg(
         *[
-            F.percentile_approx(F.col(f"`{c}`").cast("double"), grid, 20 * ranges).alias(f"b{i}")
+            F.percentile_approx(F.col(f"`{c}`").cast("double"), grid, 5 * ranges).alias(f"b{i}")
             for i, c in enumerate(columns)
         ]
     ).first()
-    return [
-        [-math.inf, *sorted({b for b in (row[f"b{i}"] or []) if not math.isnan(b)}), math.inf]
-        for i in range(len(columns))
-    ]
+    found = [sorted({b for b in (row[f"b{i}"] or [0.0]) if not math.isnan(b)}) for i in range(len(columns))]
+    return [[-math.inf, *(points or [0.0]), math.inf] for points in found]
 
 
 def default_ranges(df: DataFrame) -> int:
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
+    """One range per shuffle partition, within bounds that keep the sketch small."""
+    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), MAX_RANGES)
 
 
 def with_ranges(df: DataFrame, columns: Sequence[str], outputs: Sequence[str], bounds) -> DataFrame:

@@ -263,21 +263,23 @@ def histogram(
         .groupBy("class", "bin")
         .agg(F.count("*").alias("n"))
     )
-    grid = found.groupBy("class").agg(F.sum("n").alias("n_class")).withColumn(
-        "bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))
-    )
-    return (
-        grid.join(found, ["class", "bin"], "left")
-        .select(
-            "class",
-            "bin",
-            (start + F.col("bin") * width).alias("bin_start"),
-            (start + (F.col("bin") + 1) * width).alias("bin_end"),
-            F.coalesce("n", F.lit(0)).alias("count"),
-            (F.coalesce("n", F.lit(0)) / (F.col("n_class") * width)).alias("density"),
-        )
-        .orderBy("class", "bin")
+    # At most ``bins`` entries per class, so the gaps are filled from a list.
+    filled = found.groupBy("class").agg(
+        F.sum("n").alias("n_class"),
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin"),
+    ).select(
+        "class", "n_class", "by_bin",
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"),
     )
+    n = F.coalesce(F.try_element_at("by_bin", F.col("bin")), F.lit(0))
+    return filled.select(
+        "class",
+        "bin",
+        (start + F.col("bin") * width).alias("bin_start"),
+        (start + (F.col("bin") + 1) * width).alias("bin_end"),
+        n.alias("count"),
+        (n / (F.col("n_class") * width)).alias("density"),
+    ).orderBy("class", "bin")
 
 
 def box_plot(
