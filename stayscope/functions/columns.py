@@ -99,13 +99,6 @@ def order_hash(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def hash_uniform(seed: int, key: Column) -> Column:
-    """Reproducible uniform number in [0, 1) from a key."""
-    return F.conv(F.substring(order_hash(seed, key), 1, 8), 16, 10).cast("double") / F.lit(
-        4294967296.0
-    )
-
-
 def decision(p: Column, threshold: Column | float) -> Column:
     return (p >= _col(threshold)).cast("int")
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.functions import fixed
-from stayscope.functions.columns import count_below, label_column, lenient_number, no_nan
+from stayscope.functions.columns import label_column, lenient_number, no_nan
 from stayscope.functions.columns import ratio as _ratio
 from stayscope.operators.ordering import exact_percentiles, match_keys
 
@@ -318,7 +318,3 @@ def split_rates(df: DataFrame, target: str, split: str = "split") -> DataFrame:
         F.count("*").alias("n_rows"), F.avg(label_column(df, target)).alias("positive_rate")
     )
 
-
-def quantile_bin(value: Column, edges: Sequence[float]) -> Column:
-    """Right-closed bin over ascending inner edges given as literals."""
-    return count_below(value, [F.lit(float(e)) for e in edges])

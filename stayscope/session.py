@@ -68,9 +68,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder and return the stored copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` once as a table in the shared folder and return a reader of it.
+
+    Unlike a checkpoint of rows, later reads of the table skip unused columns.
+    The folder belongs to the run; its owner decides when to empty it.
+    """
+    path = fresh_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -44,13 +44,14 @@ def run_scoring(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = scoring_rows(batch)
+        rows = scoring_rows(batch).persist()  # read once for both outputs
         valid, bad = separate(rows, scoring_contract())
         scored = predictions(score_accounts(valid, pipeline), threshold)
         scored.write.mode("overwrite").parquet(f"{output}/predictions/batch={batch_id}")
         bad.select("customerID", F.explode("violations").alias("v")).select(
             "customerID", "v.rule", "v.column", "v.value"
         ).write.mode("overwrite").parquet(f"{output}/quarantine/batch={batch_id}")
+        rows.unpersist()
 
     return (
         arrivals.writeStream.foreachBatch(write)

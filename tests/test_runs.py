@@ -148,6 +148,20 @@ def test_stream_equals_batch_and_quarantines(spark, run, tmp_path):
     assert [(r["customerID"], r["rule"], r["value"]) for r in bad] == [("0003-AAAAA", "range", "99")]
 
 
+def test_selection_tables(spark, tmp_path):
+    from stayscope.operators import ranking
+
+    scores = spark.createDataFrame(
+        [("a", "f1", 2.0), ("a", "f2", 1.0)], "method string, feature string, score double"
+    )
+    ranked, table, top = ranking.consensus(scores, 1)
+    paths = tables.write_selection(ranked, table, top, str(tmp_path), 1, {"seed": 42})
+    record = tables.read_json_record(spark, paths["manifest"])
+    assert record["top_k_features"] == ["f1"] and record["meta"] == {"seed": 42}
+    back = spark.read.option("header", True).csv(paths["ranks"]).collect()
+    assert {(r["feature"], r["rank"]) for r in back} == {("f1", "1"), ("f2", "2")}
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
     stored = cut_lineage(spark.range(3).toDF("v"))
