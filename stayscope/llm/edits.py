@@ -19,13 +19,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.llm.bytebpe import byte_encoder
-from stayscope.llm.wordwise import as_texts
+from stayscope.llm.wordwise import as_texts, slices
 
 #: Characters after which a leaf ends at the next safe blank.
 LEAF_CHARS = 512
 
 EDITS = "array<struct<begin:int,length:int,put:string>>"
+EDIT_LIST = pa.list_(pa.struct([("begin", pa.int32()), ("length", pa.int32()), ("put", pa.string())]))
 TREES = "leaf_chars array<int>, tree array<int>"
+COUNTS = (
+    "`{key}` {kind}, tokens_before long, tokens_after long, n_edits long, n_leaves long, "
+    "leaves_encoded long, chars_encoded long, " + TREES
+)
 
 MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}")
 SECRET = re.compile(r"(?<== \")[0-9A-Za-z_\-]{16,}(?=\")")
@@ -124,26 +129,30 @@ def build_trees(docs: DataFrame, vocabulary: str, text: str = "text", leaf_chars
     at = names.index(text)
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_encoder(vocabulary)
-        for batch in batches:
-            leaves, sizes = [], []
-            for t in as_texts(batch.column(at)).to_pylist():
-                bounds = [0, *leaf_cuts(t, leaf_chars), len(t)]
-                leaves += [t[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-                sizes.append(np.diff(bounds).tolist())
-            counts, done, trees = encoder.count(pa.array(leaves, pa.large_string())), 0, []
-            for own in sizes:
-                trees.append(tree_of(counts[done:done + len(own)]))
-                done += len(own)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sizes, pa.list_(pa.int32())), pa.array(trees, pa.list_(pa.int32()))],
-                names=names,
-            )
+        return _build(batches, at, names, vocabulary, leaf_chars)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(build, f"{fields}, {TREES}")
 
 
+def _build(batches: Iterable[pa.RecordBatch], at: int, names: Sequence[str], vocabulary: str, leaf_chars: int) -> Iterator[pa.RecordBatch]:
+    encoder = byte_encoder(vocabulary)
+    for batch in (part for whole in batches for part in slices(whole, at)):
+        leaves, sizes = [], []
+        for t in as_texts(batch.column(at)).to_pylist():
+            bounds = [0, *leaf_cuts(t, leaf_chars), len(t)]
+            leaves += [t[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+            sizes.append(np.diff(bounds).tolist())
+        counts, done, trees = encoder.count(pa.array(leaves, pa.large_string())), 0, []
+        for own in sizes:
+            trees.append(tree_of(counts[done:done + len(own)]))
+            done += len(own)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(sizes, pa.list_(pa.int32())), pa.array(trees, pa.list_(pa.int32()))],
+            names=names,
+        )
+
+
 def attach_edits(docs: DataFrame, edits: DataFrame, key: str = "doc_id") -> DataFrame:
     """Gather a table (key, begin, length, put) into an ``edits`` column of ``docs``.
 
@@ -169,46 +178,49 @@ def apply_edits(trees: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     kind = trees.schema[key].dataType.simpleString()
 
     def update(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_encoder(vocabulary)
-        for batch in batches:
-            texts = as_texts(batch.column(1))
-            edits, sizes, sums = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            work, fresh, applied = [], [], [0] * len(texts)
-            for i, own in enumerate(edits):
-                if not own:
-                    continue
-                t = texts[i].as_py()
-                own = usable_edits(own, len(t))
-                applied[i] = len(own)
-                starts = np.concatenate(([0], np.cumsum(sizes[i]))).tolist()
-                for first, to, new in touched_regions(t, starts, own):
-                    work.append((i, first, to, len(new)))
-                    fresh.append(new)
-            before = [s[1] for s in sums]
-            encoded, chars = [0] * len(texts), [0] * len(texts)
-            counts = encoder.count(pa.array(fresh, pa.large_string())).tolist() if fresh else []
-            for (i, first, to, n), count in zip(work, counts, strict=True):
-                encoded[i] += to - first
-                chars[i] += n
-                for leaf in range(first, to):
-                    put_leaf(sums[i], leaf, count if leaf == first else 0)
-                    sizes[i][leaf] = n if leaf == first else 0
-            ints = lambda v: pa.array(v, pa.int64())
-            lists = lambda v: pa.array(v, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), ints(before), ints([s[1] for s in sums]), ints(applied),
-                 ints([len(s) for s in sizes]), ints(encoded), ints(chars), lists(sizes), lists(sums)],
-                names=[key, "tokens_before", "tokens_after", "n_edits", "n_leaves", "leaves_encoded",
-                       "chars_encoded", "leaf_chars", "tree"],
-            )
+        return _update(batches, key, vocabulary)
 
     chosen = trees.select(key, text, F.col("edits").cast(EDITS), "leaf_chars", "tree")
     return chosen.mapInArrow(
-        update, f"`{key}` {kind}, tokens_before long, tokens_after long, n_edits long, n_leaves long, "
-        f"leaves_encoded long, chars_encoded long, {TREES}",
+        update, COUNTS.format(key=key, kind=kind),
     )
 
 
+def _update(batches: Iterable[pa.RecordBatch], key: str, vocabulary: str) -> Iterator[pa.RecordBatch]:
+    encoder = byte_encoder(vocabulary)
+    for batch in (part for whole in batches for part in slices(whole, 1)):
+        texts = as_texts(batch.column(1))
+        edits, sizes, sums = (batch.column(i).to_pylist() for i in (2, 3, 4))
+        work, fresh, applied = [], [], [0] * len(texts)
+        for i, own in enumerate(edits):
+            if not own:
+                continue
+            t = texts[i].as_py()
+            own = usable_edits(own, len(t))
+            applied[i] = len(own)
+            starts = np.concatenate(([0], np.cumsum(sizes[i]))).tolist()
+            for first, to, new in touched_regions(t, starts, own):
+                work.append((i, first, to, len(new)))
+                fresh.append(new)
+        before = [s[1] for s in sums]
+        encoded, chars = [0] * len(texts), [0] * len(texts)
+        counts = encoder.count(pa.array(fresh, pa.large_string())).tolist() if fresh else []
+        for (i, first, to, n), count in zip(work, counts, strict=True):
+            encoded[i] += to - first
+            chars[i] += n
+            for leaf in range(first, to):
+                put_leaf(sums[i], leaf, count if leaf == first else 0)
+                sizes[i][leaf] = n if leaf == first else 0
+        ints = lambda v: pa.array(v, pa.int64())
+        lists = lambda v: pa.array(v, pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), ints(before), ints([s[1] for s in sums]), ints(applied),
+             ints([len(s) for s in sizes]), ints(encoded), ints(chars), lists(sizes), lists(sums)],
+            names=[key, "tokens_before", "tokens_after", "n_edits", "n_leaves", "leaves_encoded",
+                   "chars_encoded", "leaf_chars", "tree"],
+        )
+
+
 def cleaning_edits(text: str) -> list[tuple[int, int, str]]:
     """Edits that clean a text: mail addresses and quoted secrets masked, lines
     equal to an earlier line (with their line end) taken out."""
@@ -232,20 +244,40 @@ def with_cleaning_edits(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = docs.drop("edits")
     names = [*kept.columns, "edits"]
     at = names.index(text)
-    kind = pa.list_(pa.struct([("begin", pa.int32()), ("length", pa.int32()), ("put", pa.string())]))
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                [{"begin": b, "length": n, "put": p} for b, n, p in cleaning_edits(t)]
-                for t in as_texts(batch.column(at)).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=names)
+        return _find(batches, at, names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(find, f"{fields}, edits {EDITS}")
 
 
+def _find(batches: Iterable[pa.RecordBatch], at: int, names: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    for batch in (part for whole in batches for part in slices(whole, at)):
+        found = [
+            [{"begin": b, "length": n, "put": p} for b, n, p in cleaning_edits(t)]
+            for t in as_texts(batch.column(at)).to_pylist()
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, EDIT_LIST)], names=names)
+
+
+def cleaned_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """Trees of all texts, their cleaning edits, and the counts after them, in one pass.
+
+    ``docs`` has ``doc_id`` and ``text``; the steps are those of
+    :func:`with_cleaning_edits`, :func:`build_trees` and :func:`apply_edits`.
+    """
+    chosen = docs.select("doc_id", "text")
+    kind = chosen.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edited = _find(batches, 1, ["doc_id", "text", "edits"])
+        trees = _build(edited, 1, ["doc_id", "text", "edits", "leaf_chars", "tree"], vocabulary, LEAF_CHARS)
+        return _update(trees, "doc_id", vocabulary)
+
+    return chosen.mapInArrow(run, COUNTS.format(key="doc_id", kind=kind))
+
+
 def edited_text(text: str, edits: list[tuple[int, int, str]]) -> str:
     """The text after its usable edits."""
     at, parts = 0, []

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayscope.llm.bytebpe import byte_encoder
-from stayscope.llm.wordwise import as_texts
+from stayscope.llm.wordwise import as_texts, slices
 from stayscope.session import cut_lineage, fresh_path
 
 SEGMENT = struct.Struct("<8sIII")
@@ -143,7 +143,7 @@ def write_id_files(
             offset += len(raw)
             keys.clear(), lengths.clear(), ids.clear()
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             own, n = encoder.encode(as_texts(batch.column(1)))
             ends = np.cumsum(n)
             with_end = np.insert(own, ends, end_id)

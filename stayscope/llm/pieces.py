@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from stayscope.llm.wordwise import WordMemory, as_texts, encode_texts
+from stayscope.llm.wordwise import WordMemory, as_texts, encode_texts, slices
 
 VOCABULARY = "piece_bpe_32k.model"
 BLANK = "▁"
@@ -144,23 +144,25 @@ def encode_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text
         encoder = piece_encoder(vocabulary)
         is_byte = np.zeros(len(encoder.pieces), np.int64)
         is_byte[encoder.byte_id] = 1
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             texts = as_texts(batch.column(1))
             ids, counts = encoder.encode(texts)
             ends = np.cumsum(counts)
             starts = ends - counts
-            flat = memoryview(ids.astype("<u4").tobytes())
-            listed = ids.tolist()
             spans = list(zip(starts.tolist(), ends.tolist(), strict=True))
             bytes_before = np.concatenate(([0], np.cumsum(is_byte[ids])))
+            offsets = np.append(0, ends).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.LargeListArray.from_arrays(np.append(starts, len(ids)), pa.array(ids)).cast(pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)),
                     pa.array(counts),
                     pa.array(bytes_before[ends] - bytes_before[starts]),
-                    pa.array([zlib.crc32(flat[4 * a:4 * b]) for a, b in spans], pa.int64()),
-                    pa.array([encoder.decode(listed[a:b]) == t for (a, b), t in zip(spans, texts.to_pylist(), strict=True)]),
+                    pa.array([zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in spans], pa.int64()),
+                    pa.array([
+                        encoder.decode(ids[a:b].tolist()) == t
+                        for (a, b), t in zip(spans, texts.to_pylist(), strict=True)
+                    ], pa.bool_()),
                 ],
                 names=[doc_id, "ids", "n_ids", "n_byte_ids", "ids_crc32", "same_text"],
             )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stayscope.llm import bytebpe, pieces
-from stayscope.llm.edits import apply_edits, build_trees, with_cleaning_edits
+from stayscope.llm.edits import cleaned_counts
 from stayscope.llm.idfiles import id_file_round
 from stayscope.llm.pieces import encode_pieces
 
@@ -16,10 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after its cleaning edits."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocabulary = bytebpe.vocabulary_path()
-    counted = apply_edits(build_trees(with_cleaning_edits(docs), vocabulary), vocabulary)
-    return counted.drop("leaf_chars", "tree")
+    docs = table(spark, sf_dir, "documents")
+    return cleaned_counts(docs, bytebpe.vocabulary_path()).drop("leaf_chars", "tree")
 
 
 def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ encoder on whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,10 @@ BLANK_RUN = r" [\s\x0b\x1c-\x1f\x{85}\pZ]"
 
 #: Ids that a Python worker keeps. Beyond it, words that came once only are dropped;
 #: if that is not enough, all are.
-KEPT_IDS = 6_000_000
+KEPT_IDS = 4_000_000
+
+#: Bytes of text that are worked on at once within a batch; a longer text stands alone.
+SLICE_BYTES = 12_000_000
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -105,6 +108,17 @@ def as_texts(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most ``SLICE_BYTES`` of text each, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct words, the word code of every position, and the words of each text.
 
