@@ -45,7 +45,7 @@ BASE = (
 RULES = (
     Threshold("word_length", "word_chars", "n_words", least=200, most=1800),
     Threshold("symbols", "n_symbols", "n_words", most=10),
-    Threshold("duplicate_lines", "n_dup_lines", "n_lines", most=30),
+    Threshold("duplicate_lines", "n_dup_lines", "n_lines", most=50),
     Threshold("stop_words", "n_stop_words", "n_words", least=2),
     Threshold("shouted_words", "n_shouted", "n_words", most=40),
     Threshold("exclamations", "n_exclamations", "n_words", most=30),
@@ -138,7 +138,7 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Threshold] = BASE, r
 
 
 def quality_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the key, the base measures, ``base_failed``, ``kept`` and the broken rules.
+    """Per row: the key, the base measures, ``base_failed``, ``kept`` and the names of the broken rules.
 
     Repeated rows stay, null keys too; other columns are not read.
     """
@@ -146,7 +146,7 @@ def quality_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return m.select(
         "doc_id", *[F.col(f"_m.{c}").alias(c) for c in base], F.col("_base_failed").alias("base_failed"),
-        F.col("_kept").alias("kept"), F.col("_broken").alias("broken_rules"),
+        F.col("_kept").alias("kept"), F.array_join("_broken", ",").alias("broken_rules"),
     )
 
 

@@ -3,23 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stayscope.llm import bytebpe, pieces
 from stayscope.llm.edits import cleaned_counts
+from stayscope.llm.hilbert import shard_documents
+from stayscope.llm.hosts import judge_urls
 from stayscope.llm.idfiles import id_file_round
+from stayscope.llm.oracles import ORACLES
 from stayscope.llm.pieces import encode_pieces
+from stayscope.llm.quality import quality_table
+from stayscope.llm.toxicity import toxicity_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after its cleaning edits."""
     docs = table(spark, sf_dir, "documents")
     return cleaned_counts(docs, bytebpe.vocabulary_path()).drop("leaf_chars", "tree")
 
 
+def hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return encode_pieces(docs, pieces.vocabulary_path()).drop("ids")
@@ -29,10 +43,26 @@ def ranked_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_file_round(table(spark, sf_dir, "documents"), bytebpe.vocabulary_path())
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_table(table(spark, sf_dir, "documents"))
+
+
+def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes are the quality labels of the documents that the pages became."""
+    outcomes = table(spark, sf_dir, "labels").filter(F.col("quality").isNotNull()).select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")
+    )
+    return judge_urls(table(spark, sf_dir, "pages"), outcomes)
+
+
 QUERIES = {
+    "op1_toxicity_instances": toxicity_scores,
     "op3_edit_token_counts": edited_token_counts,
+    "op5_hilbert_shards": hilbert_shards,
     "op6_aho_viterbi_pieces": piece_ids,
     "op8_ranked_id_files": ranked_id_files,
+    "op9_quality_rules": quality_rules,
+    "op10_host_reputation": page_verdicts,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

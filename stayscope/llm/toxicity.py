@@ -17,20 +17,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.wordwise import as_texts, ragged, run_sums
+from stayscope.llm.wordwise import as_texts, ragged, run_sums, slices
 
 #: Documents of each label that the model is fitted on: those with the least hash of the key.
-SAMPLE_PER_LABEL = 3_000
+SAMPLE_PER_LABEL = 2_000
 
 #: Hashed features, and the prefixes of a word that are features beside the word.
 FEATURES = 1 << 18
 PREFIXES = (4, 5, 6)
 
-STEPS, RATE, SPARSITY, START = 150, 0.15, 2e-4, -5.0
+STEPS, RATE, SPARSITY, START = 150, 0.15, 3e-4, -9.0
 
 #: Distinct words whose weight a Python worker keeps.
 KEPT_WORDS = 1_000_000
 
+#: Tokens after which a sentence without an end is cut.
+LONGEST = 60
+
 SENTENCE_ENDS = (".", "!", "?")
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_/\\`~^=+…«»„“”¡¿\t\r"
 
@@ -57,7 +60,8 @@ class Sentences:
 
 
 def sentences_of(texts: pa.Array) -> Sentences:
-    """Cut whole texts at line ends and after tokens that end in . ! or ?
+    """Cut whole texts at line ends, after tokens that end in . ! or ?, and else
+    after ``LONGEST`` tokens.
 
     Every text has one sentence at least, if only an empty one.
     """
@@ -75,6 +79,9 @@ def sentences_of(texts: pa.Array) -> Sentences:
     ends = closes[codes]
     ends[np.cumsum(per_text) - 1] = True
     last = np.flatnonzero(ends)
+    opens = np.concatenate(([0], last[:-1] + 1))
+    place = np.arange(len(codes)) - np.repeat(opens, last - opens + 1)
+    last = np.flatnonzero(ends | (place % LONGEST == LONGEST - 1))
     first = np.concatenate(([0], last[:-1] + 1))
     text_of = np.repeat(np.arange(len(per_text)), per_text)
     width = widths[codes]
@@ -147,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
     )
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0)):
             s = sentences_of(as_texts(batch.column(0)))
             own = [features_of(t) for t in s.tokens]
             n = np.fromiter(map(len, own), np.int64, len(own))
@@ -217,7 +224,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, at)):
             total, s, p = scorer.score(as_texts(batch.column(at)))
             bad = np.flatnonzero(p >= 0.5)
             owner = np.repeat(np.arange(len(total)), s.text_sentences)[bad]
