@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from stayscope.llm import bytebpe, pieces
 from stayscope.llm.edits import cleaned_counts
+from stayscope.llm.forest import nearest
 from stayscope.llm.hilbert import shard_documents
 from stayscope.llm.hosts import judge_urls
 from stayscope.llm.idfiles import id_file_round
+from stayscope.llm.mixture import mixture_table
 from stayscope.llm.oracles import ORACLES
 from stayscope.llm.pieces import encode_pieces
+from stayscope.llm.probminhash import near_duplicate_classes
 from stayscope.llm.quality import quality_table
 from stayscope.llm.toxicity import toxicity_table
 
@@ -24,12 +27,21 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document before and after its cleaning edits."""
     docs = table(spark, sf_dir, "documents")
     return cleaned_counts(docs, bytebpe.vocabulary_path()).drop("leaf_chars", "tree")
 
 
+def probability_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +51,10 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(docs, pieces.vocabulary_path()).drop("ids")
 
 
+def raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_table(table(spark, sf_dir, "documents"), bytebpe.vocabulary_path())
+
+
 def ranked_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_file_round(table(spark, sf_dir, "documents"), bytebpe.vocabulary_path())
 
@@ -57,9 +73,12 @@ def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity_instances": toxicity_scores,
+    "op2_prefix_forest": forest_neighbours,
     "op3_edit_token_counts": edited_token_counts,
+    "op4_probminhash_classes": probability_minhash,
     "op5_hilbert_shards": hilbert_shards,
     "op6_aho_viterbi_pieces": piece_ids,
+    "op7_raked_mixture": raked_mixture,
     "op8_ranked_id_files": ranked_id_files,
     "op9_quality_rules": quality_rules,
     "op10_host_reputation": page_verdicts,
