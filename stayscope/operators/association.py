@@ -21,7 +21,6 @@ def correlation(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     method: str = "spearman",
-    scale: str = "auto",
 ) -> DataFrame:
     """Full square matrix in long form: (variable_a, variable_b, i, j, correlation).
 
@@ -38,11 +37,11 @@ def correlation(
         upper = _pearson(values, len(columns))
     elif method == "spearman":
         upper = _diagonal(values, len(columns)).unionByName(
-            _spearman(values, len(columns), scale)
+            _spearman(values, len(columns))
         )
     elif method == "kendall":
         upper = _diagonal(values, len(columns)).unionByName(
-            _kendall(values, len(columns), scale)
+            _kendall(values, len(columns))
         )
     else:
         raise ValueError(f"unknown method {method!r}, use one of {METHODS}")
@@ -123,10 +122,10 @@ def _pair_cells(values: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _average_ranks(cells: DataFrame, side: str, scale: str) -> DataFrame:
+def _average_ranks(cells: DataFrame, side: str) -> DataFrame:
     """Per pair and value: copies, and the average rank centred on the mean rank."""
     counts = cells.groupBy("i", "j", side).agg(F.sum("n").alias("copies"))
-    summed = running_sums(counts, side, ["copies"], ["i", "j"], scale=scale)
+    summed = running_sums(counts, side, ["copies"], ["i", "j"])
     rank = F.col("cum_copies") - (F.col("copies") - 1) / 2.0
     return summed.select(
         "i", "j", side, "copies", F.col("tot_copies").alias("total"),
@@ -149,14 +148,14 @@ def _attach(cells: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _spearman(values: DataFrame, k: int, scale: str) -> DataFrame:
+def _spearman(values: DataFrame, k: int) -> DataFrame:
     """Pearson of average ranks, from centred sums over distinct value pairs.
 
     The sum over y is taken per x before x ranks are joined, so each x is one row.
     """
     cells = _pair_cells(values, k)
-    ranks_x = _average_ranks(cells, "x", scale)
-    ranks_y = _average_ranks(cells, "y", scale)
+    ranks_x = _average_ranks(cells, "x")
+    ranks_y = _average_ranks(cells, "y")
     cross = (
         _attach(cells, ranks_y, ["i", "j", "y"])
         .groupBy("i", "j", "x")
@@ -177,7 +176,7 @@ def _spearman(values: DataFrame, k: int, scale: str) -> DataFrame:
     )
 
 
-def _kendall(values: DataFrame, k: int, scale: str) -> DataFrame:
+def _kendall(values: DataFrame, k: int) -> DataFrame:
     """Tau-b without comparing rows with rows.
 
     Two distinct y positions first differ in exactly one bit. Per bit level and
@@ -190,7 +189,7 @@ def _kendall(values: DataFrame, k: int, scale: str) -> DataFrame:
         F.sum("n").alias("copies"), F.lit(1).cast("long").alias("one")
     )
     positions = running_sums(
-        values_y, "y", ["one", "copies"], ["i", "j"], scale=scale
+        values_y, "y", ["one", "copies"], ["i", "j"]
     ).select(
         "i", "j", "y", "copies", F.col("tot_copies").alias("total"),
         (F.col("cum_one") - 1).alias("pos"), F.col("tot_one").alias("n_pos"),
@@ -214,7 +213,7 @@ def _kendall(values: DataFrame, k: int, scale: str) -> DataFrame:
         )
     )
     alike = (
-        running_sums(bits, "x", ["zeros"], ["i", "j", "level", "head"], scale=scale)
+        running_sums(bits, "x", ["zeros"], ["i", "j", "level", "head"])
         .groupBy("i", "j")
         .agg(
             F.sum(

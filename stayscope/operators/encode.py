@@ -99,13 +99,13 @@ class Encoder:
         return self.stage(keep).transform(df)
 
 
-def fit_encoder(train: DataFrame, spec: EncoderSpec, scale: str = "auto") -> Encoder:
+def fit_encoder(train: DataFrame, spec: EncoderSpec) -> Encoder:
     """Medians first, then mean and deviation of the filled values: two jobs."""
     require_columns(train, spec.inputs)
     columns = list(spec.numeric)
     medians = {
         r["variable"]: r["q"][0]
-        for r in exact_percentiles(train, columns, [0.5], scale=scale).collect()
+        for r in exact_percentiles(train, columns, [0.5]).collect()
     }
     without = [c for c in columns if medians.get(c) is None]
     if without:

@@ -20,12 +20,12 @@ from stayscope.operators.ordering import exact_percentiles, match_keys, running_
 SWEEP_METRICS = ("precision", "recall", "f1", "accuracy", "positive_rate")
 
 
-def curve(scores: DataFrame, keys: Sequence[str] = (), scale: str = "auto") -> DataFrame:
+def curve(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct probabilities, highest first: tp, n, running and total sums."""
     distinct = scores.groupBy(*keys, "p").agg(
         F.sum(F.col("y").cast("long")).alias("tp"), F.count("*").alias("n")
     )
-    return running_sums(distinct, "p", ["tp", "n"], keys, descending=True, scale=scale)
+    return running_sums(distinct, "p", ["tp", "n"], keys, descending=True)
 
 
 def average_precision() -> Column:
@@ -63,7 +63,6 @@ def binary_metrics(
     threshold: float | str = fixed.DEFAULT_THRESHOLD,
     keys: Sequence[str] = (),
     fraction: float = fixed.TOP_FRACTION,
-    scale: str = "auto",
 ) -> DataFrame:
     """All metrics at a threshold: one row per ``keys``, one ordering pass.
 
@@ -80,7 +79,7 @@ def binary_metrics(
     positives, rows = F.sum(tp), F.sum(n)
     precision, recall, f1, accuracy = _rates(true_pos, flagged, positives, rows)
     return (
-        curve(scores, by, scale)
+        curve(scores, by)
         .groupBy(*by)
         .agg(
             average_precision().alias("pr_auc"),
@@ -210,11 +209,11 @@ def confusion(
 
 
 def calibration(
-    scores: DataFrame, n_bins: int = 10, keys: Sequence[str] = (), scale: str = "auto"
+    scores: DataFrame, n_bins: int = 10, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Observed rate against mean probability in quantile bins; empty bins absent."""
     inner = [i / n_bins for i in range(1, n_bins)]
-    edges = exact_percentiles(scores, ["p"], inner, keys, scale=scale).select(*keys, "q")
+    edges = exact_percentiles(scores, ["p"], inner, keys).select(*keys, "q")
     if keys:
         binned = match_keys(scores, edges, keys)
         edge = [F.get("q", F.lit(i)) for i in range(len(inner))]
@@ -232,10 +231,10 @@ def calibration(
     )
 
 
-def pr_points(scores: DataFrame, keys: Sequence[str] = (), scale: str = "auto") -> DataFrame:
+def pr_points(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Precision/recall at every distinct score, the (0, 1) end point, the base-rate line."""
     base = _ratio(F.col("tot_tp"), F.col("tot_n"))
-    points = curve(scores, keys, scale).select(
+    points = curve(scores, keys).select(
         *keys,
         F.col("p").alias("threshold"),
         _ratio(F.col("cum_tp"), F.col("cum_n")).alias("precision"),
@@ -245,10 +244,10 @@ def pr_points(scores: DataFrame, keys: Sequence[str] = (), scale: str = "auto")
     return points.unionByName(_end_point(points, keys, precision=1.0, recall=0.0))
 
 
-def roc_points(scores: DataFrame, keys: Sequence[str] = (), scale: str = "auto") -> DataFrame:
+def roc_points(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """False and true positive rates at every distinct score, and the (0, 0) point."""
     negatives = F.col("tot_n") - F.col("tot_tp")
-    points = curve(scores, keys, scale).select(
+    points = curve(scores, keys).select(
         *keys,
         F.col("p").alias("threshold"),
         _ratio(F.col("cum_n") - F.col("cum_tp"), negatives).alias("fpr"),

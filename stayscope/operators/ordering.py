@@ -4,10 +4,8 @@ Both start from a range sketch: a bounded list of approximate quantiles of the
 ordering column. Rows fall into the ranges; one small aggregate per range gives
 the offset at which the range starts; only the rest is ordered, inside each
 range. The sketch steers balance only, never the result: any list of bounds
-gives the same numbers, also when a lost executor's task is run again.
-
-Where the inputs are small (:func:`stayscope.session.fits_one_task`) one window
-per key does the same with fewer jobs.
+gives the same numbers, also when a lost executor's task is run again. There is
+one path for inputs of every size.
 """
 
 from __future__ import annotations
@@ -21,11 +19,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayscope.functions.columns import no_nan
-from stayscope.session import fits_one_task
 
 _ALL = "_all"
 _RANGE = "_range"
-MAX_RANGES = 2000
 
 
 def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> list[list]:
@@ -42,13 +38,13 @@ def range_bounds(df: DataFrame, columns: Sequence[str], ranges: int | None = Non
             for i, c in enumerate(columns)
         ]
     ).first()
-    found = [sorted({b for b in (row[f"b{i}"] or [0.0]) if not math.isnan(b)}) for i in range(len(columns))]
+    found = [sorted({b for b in (row[f"b{i}"] or ()) if math.isfinite(b)}) for i in range(len(columns))]
     return [[-math.inf, *(points or [0.0]), math.inf] for points in found]
 
 
 def default_ranges(df: DataFrame) -> int:
-    """One range per shuffle partition, within bounds that keep the sketch small."""
-    return min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8), MAX_RANGES)
+    """One range per shuffle partition: the setting that sizes all other tasks too."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 8)
 
 
 def with_ranges(df: DataFrame, columns: Sequence[str], outputs: Sequence[str], bounds) -> DataFrame:
@@ -67,7 +63,6 @@ def running_sums(
     sums: Sequence[str],
     keys: Sequence[str] = (),
     descending: bool = False,
-    scale: str = "auto",
     ranges: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<s>`` (inclusive) and ``tot_<s>`` for every measure in ``sums``.
@@ -81,19 +76,6 @@ def running_sums(
     def direction(name: str) -> Column:
         return F.col(name).desc() if descending else F.col(name).asc()
 
-    if fits_one_task(table, scale):
-        running = W.partitionBy(*by).orderBy(direction(order_by))
-        whole = W.partitionBy(*by)
-        out = base.select(
-            "*",
-            *[
-                F.sum(s).over(running.rowsBetween(W.unboundedPreceding, 0)).alias(f"cum_{s}")
-                for s in sums
-            ],
-            *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums],
-        )
-        return out if keys else out.drop(_ALL)
-
     bounds = range_bounds(table, [order_by], ranges)
     ranged = with_ranges(
         base.withColumn("_v", F.col(order_by).cast("double")), ["_v"], [_RANGE], bounds
@@ -112,7 +94,9 @@ def running_sums(
     return out if keys else out.drop(_ALL)
 
 
-def _range_starts(ranged: DataFrame, by: list[str], sums: Sequence[str], order: Column):
+def _range_starts(
+    ranged: DataFrame, by: list[str], sums: Sequence[str], order: Column, with_size: bool = False
+) -> DataFrame:
     """Per key and range: sum of all earlier ranges, and the key's total."""
     whole = W.partitionBy(*by)
     running = whole.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -122,14 +106,15 @@ def _range_starts(ranged: DataFrame, by: list[str], sums: Sequence[str], order:
         _RANGE,
         *[(F.sum(s).over(running) - F.col(s)).alias(f"_start_{s}") for s in sums],
         *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums],
+        *([F.col(sums[0]).alias("_in_range")] if with_size else []),
     )
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"):
     """Null-safe equi-join on ``keys``, keeping one copy of them.
 
-    No broadcast hint: Spark broadcasts the right side only if its measured
-    size is under ``spark.sql.autoBroadcastJoinThreshold``.
+    No broadcast hint: Spark broadcasts a side only if its measured size is
+    under ``spark.sql.autoBroadcastJoinThreshold``.
     """
     renamed = right.select(
         *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -147,37 +132,19 @@ def exact_percentiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     keys: Sequence[str] = (),
-    scale: str = "auto",
     ranges: int | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles: one row (keys, variable, n, q: array).
 
-    Missing values and NaN are skipped. ``q`` follows ``probabilities``; a
-    column without values gives null entries and n = 0 on the small path and no
-    row on the ranged one.
+    Missing values and NaN are skipped. ``q`` follows ``probabilities``; a key's
+    column without values gives n = 0 and null entries. Rows are counted per
+    value before anything is ordered or joined.
     """
     probabilities = [float(p) for p in probabilities]
     wide = df.select(
         *[f"`{k}`" for k in keys],
         *[no_nan(F.col(f"`{c}`").cast("double")).alias(f"_c{i}") for i, c in enumerate(columns)],
     )
-    if fits_one_task(df, scale):
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        aggregated = wide.groupBy(*keys).agg(
-            *[
-                F.struct(
-                    F.lit(c).alias("variable"),
-                    F.count(f"_c{i}").alias("n"),
-                    F.percentile(f"_c{i}", wanted).alias("q"),
-                ).alias(f"_s{i}")
-                for i, c in enumerate(columns)
-            ]
-        )
-        return aggregated.select(
-            *[f"`{k}`" for k in keys],
-            F.inline(F.array(*[f"_s{i}" for i in range(len(columns))])),
-        )
-
     names = [f"_c{i}" for i in range(len(columns))]
     bounds = range_bounds(wide, names, ranges)
     ranged = with_ranges(wide, names, [f"_r{i}" for i in range(len(columns))], bounds)
@@ -197,11 +164,12 @@ def exact_percentiles(
         ),
     ).filter(F.col("value").isNotNull())
     by = [*keys, "variable"]
-    counts = long.groupBy(*by, _RANGE).agg(F.count("*").alias("n"))
-    starts = _range_starts(counts, by, ["n"], F.col(_RANGE).asc())
-    sized = match_keys(counts.withColumnRenamed("n", "_size"), starts, [*by, _RANGE])
+    counts = long.groupBy(*by, _RANGE, "value").agg(F.count("*").alias("_copies"))
+    starts = _range_starts(
+        counts.withColumnRenamed("_copies", "n"), by, ["n"], F.col(_RANGE).asc(), with_size=True
+    )
 
-    # Only ranges that hold a wanted position are ordered row by row.
+    # Only ranges that hold a wanted position are ordered.
     position = [F.lit(p) * (F.col("tot_n") - 1) for p in probabilities]
     lower = [F.floor(x) for x in position]
     upper = [F.ceil(x) for x in position]
@@ -211,16 +179,8 @@ def exact_percentiles(
 
     needed = F.lit(False)
     for target in [*lower, *upper]:
-        needed = needed | within(target, F.col("_start_n"), F.col("_size"))
-    values = (
-        match_keys(long, sized.filter(needed), [*by, _RANGE])
-        .groupBy(*by, _RANGE, "value")
-        .agg(
-            F.count("*").alias("_copies"),
-            F.first("_start_n").alias("_start_n"),
-            F.first("tot_n").alias("tot_n"),
-        )
-    )
+        needed = needed | within(target, F.col("_start_n"), F.col("_in_range"))
+    values = match_keys(counts, starts.filter(needed), [*by, _RANGE])
     running = (
         W.partitionBy(*by, _RANGE)
         .orderBy("value")
@@ -238,14 +198,21 @@ def exact_percentiles(
         *[value_at(t).alias(f"_lo{i}") for i, t in enumerate(lower)],
         *[value_at(t).alias(f"_hi{i}") for i, t in enumerate(upper)],
     )
-    return picked.select(
-        *by,
-        F.col("tot_n").alias("n"),
+
+    def between(i: int) -> Column:
+        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        weighted = (upper[i] - position[i]) * low + (position[i] - lower[i]) * high
+        return F.when(low == high, low).otherwise(weighted)
+
+    found = picked.select(*by, F.array(*[between(i) for i in range(len(probabilities))]).alias("q"))
+    none = F.array(*[F.lit(None).cast("double") for _ in probabilities])
+    sizes = wide.groupBy(*[f"`{k}`" for k in keys]).agg(
         F.array(
             *[
-                F.col(f"_lo{i}")
-                + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (position[i] - lower[i])
-                for i in range(len(probabilities))
+                F.struct(F.lit(c).alias("variable"), F.count(f"_c{i}").alias("n"))
+                for i, c in enumerate(columns)
             ]
-        ).alias("q"),
+        ).alias("_sizes")
     )
+    every = sizes.select(*[f"`{k}`" for k in keys], F.inline("_sizes"))
+    return match_keys(every, found, by, "left").select(*by, "n", F.coalesce("q", none).alias("q"))

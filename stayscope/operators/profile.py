@@ -119,7 +119,7 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 
 def numeric_summary(
-    df: DataFrame, columns: Sequence[str] | None = None, scale: str = "auto"
+    df: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """Per column: count, missing, mean, std, min, max, skew, kurtosis, percentiles.
 
@@ -158,7 +158,7 @@ def numeric_summary(
     table = values.agg(*moments).select(
         F.inline(F.array(*[f"s{i}" for i in range(len(columns))]))
     )
-    quantiles = exact_percentiles(values, columns, list(PERCENTILES.values()), scale=scale).select(
+    quantiles = exact_percentiles(values, columns, list(PERCENTILES.values())).select(
         "variable", *[F.get("q", F.lit(i)).alias(p) for i, p in enumerate(PERCENTILES)]
     )
     return table.join(quantiles, "variable", "left")
@@ -283,14 +283,14 @@ def histogram(
 
 
 def box_plot(
-    df: DataFrame, column: str, target: str = fixed.TARGET, scale: str = "auto"
+    df: DataFrame, column: str, target: str = fixed.TARGET
 ) -> DataFrame:
     """Per class: quartiles, whiskers (extremes within 1.5 IQR) and outlier count."""
     rows = df.select(
         F.col(target).cast("string").alias("class"),
         no_nan(F.col(column).cast("double")).alias("_v"),
     ).dropna()
-    quartiles = exact_percentiles(rows, ["_v"], [0.25, 0.5, 0.75], ["class"], scale=scale).select(
+    quartiles = exact_percentiles(rows, ["_v"], [0.25, 0.5, 0.75], ["class"]).select(
         "class",
         F.get("q", F.lit(0)).alias("q1"),
         F.get("q", F.lit(1)).alias("median"),

@@ -27,7 +27,6 @@ def mutual_information(
     target: str,
     discrete: Sequence[str] = (),
     bins: int = 10,
-    scale: str = "auto",
 ) -> DataFrame:
     """Plug-in mutual information (nats) of each feature with the target.
 
@@ -40,7 +39,7 @@ def mutual_information(
         inner = [i / bins for i in range(1, bins)]
         edges = {
             r["variable"]: [e for e in r["q"] if e is not None]
-            for r in exact_percentiles(matrix, continuous, inner, scale=scale).collect()
+            for r in exact_percentiles(matrix, continuous, inner).collect()
         }
 
     def bin_of(feature: str):
@@ -136,7 +135,6 @@ def permutation_importance(
     max_depth: int = 12,
     seed: int = 42,
     block_rows: int = 100_000,
-    scale: str = "auto",
 ) -> DataFrame:
     """Mean drop of average precision when one feature is permuted.
 
@@ -155,7 +153,7 @@ def permutation_importance(
         F.array(*columns).alias("own"),
     )
     base = models.score(fitted, rows.select("key", "y", array_to_vector("own").alias("features")))
-    base_ap = curve(base, scale=scale).agg(average_precision().alias("ap")).first()["ap"]
+    base_ap = curve(base).agg(average_precision().alias("ap")).first()["ap"]
     blocks = max(1, math.ceil(rows.count() / block_rows))
 
     donors = []
@@ -186,7 +184,7 @@ def permutation_importance(
     )
     scored = models.score(fitted, permuted)
     return (
-        curve(scored, ["repeat", "feature"], scale)
+        curve(scored, ["repeat", "feature"])
         .groupBy("repeat", "feature")
         .agg(average_precision().alias("ap"))
         .groupBy("feature")

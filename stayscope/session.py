@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Inputs up to this many bytes may be ordered by one task per key.
-SINGLE_TASK_BYTES = 64 * 1024 * 1024
-
 
 def build_session(
     app_name: str = "stayscope",
@@ -77,21 +74,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the sizes of the scans below ``df``, from plan statistics (no job)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def fits_one_task(df: DataFrame, scale: str = "auto") -> bool:
-    """Whether a global order over ``df`` may be left to one task per key.
-
-    ``scale`` forces the answer with ``"single"`` or ``"range"``; ``"auto"``
-    compares the size of the inputs with :data:`SINGLE_TASK_BYTES`.
-    """
-    if scale not in ("auto", "single", "range"):
-        raise ValueError(f"unknown scale {scale!r}")
-    if scale != "auto":
-        return scale == "single"
-    return input_bytes(df) <= SINGLE_TASK_BYTES

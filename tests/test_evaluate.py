@@ -28,11 +28,10 @@ def brute(y, p, t):
     }
 
 
-@pytest.mark.parametrize("scale", ["single", "range"])
 @pytest.mark.parametrize("t", [0.05, 0.4, 0.41, 0.99])
-def test_bundle_equals_brute_force(scores, t, scale):
+def test_bundle_equals_brute_force(scores, t):
     pdf = scores.toPandas()
-    for r in evaluate.binary_metrics(scores, t, ["group"], scale=scale).collect():
+    for r in evaluate.binary_metrics(scores, t, ["group"]).collect():
         g = pdf[pdf["group"] == r["group"]]
         for name, value in brute(g["y"].to_numpy(), g["p"].to_numpy(), t).items():
             assert r[name] == pytest.approx(value, abs=1e-12), name
@@ -89,11 +88,10 @@ def test_confusion_has_all_cells(spark):
     assert cells == {(0, 0): 0, (0, 1): 0, (1, 0): 0, (1, 1): 2}
 
 
-@pytest.mark.parametrize("scale", ["single", "range"])
 @pytest.mark.parametrize("keys", [[], ["group"]])
-def test_calibration(scores, keys, scale):
+def test_calibration(scores, keys):
     pdf = scores.toPandas()
-    rows = evaluate.calibration(scores, 10, keys, scale).collect()
+    rows = evaluate.calibration(scores, 10, keys).collect()
     parts = {None: pdf} if not keys else dict(list(pdf.groupby("group")))
     for key, part in parts.items():
         p = part["p"].to_numpy()

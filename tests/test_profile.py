@@ -29,10 +29,9 @@ def table(spark):
     return df, pdf
 
 
-@pytest.mark.parametrize("scale", ["single", "range"])
-def test_numeric_summary_equals_pandas(table, scale):
+def test_numeric_summary_equals_pandas(table):
     df, pdf = table
-    for r in profile.numeric_summary(df, ["x", "y"], scale=scale).collect():
+    for r in profile.numeric_summary(df, ["x", "y"]).collect():
         s = pdf[r["variable"]].dropna()
         assert (r["count"], r["missing"]) == (len(s), 300 - len(s))
         expected = [s.mean(), s.std(), s.min(), s.max(), s.skew(), s.kurtosis(), s.quantile(0.05),
@@ -46,7 +45,7 @@ def test_short_columns_have_no_shape(spark):
     row = profile.numeric_summary(flat, ["k"], "single").first()
     assert (row["std"], row["skew"], row["kurtosis"]) == (0.0, 0.0, 0.0)
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
-    rows = {r["variable"]: r for r in profile.numeric_summary(df, scale="single").collect()}
+    rows = {r["variable"]: r for r in profile.numeric_summary(df).collect()}
     assert rows["a"]["std"] is not None and rows["a"]["skew"] is None
     assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None and rows["b"]["p50"] is None
 
@@ -88,15 +87,14 @@ def test_group_rates_keep_missing(table):
     assert sum(r["pct"] for r in profile.target_distribution(df, "t").collect()) == pytest.approx(1)
 
 
-@pytest.mark.parametrize("scale", ["single", "range"])
 @pytest.mark.parametrize("method", ["pearson", "spearman"])
-def test_correlation_equals_pandas(table, method, scale):
+def test_correlation_equals_pandas(table, method):
     df, pdf = table
     expected = pdf[["x", "y"]].corr("pearson")
     if method == "spearman":
         both = pdf[["x", "y"]].dropna().rank()
         expected = both.corr()
-    for r in association.correlation(df, ["x", "y"], method, scale).collect():
+    for r in association.correlation(df, ["x", "y"], method).collect():
         if r["i"] == r["j"]:
             assert r["correlation"] == pytest.approx(1.0)
         else:
@@ -105,8 +103,7 @@ def test_correlation_equals_pandas(table, method, scale):
             )
 
 
-@pytest.mark.parametrize("scale", ["single", "range"])
-def test_kendall_equals_pair_count(table, scale):
+def test_kendall_equals_pair_count(table):
     df, pdf = table
     both = pdf[["x", "y"]].dropna().to_numpy()
     dx = np.sign(both[:, None, 0] - both[None, :, 0])
@@ -114,7 +111,7 @@ def test_kendall_equals_pair_count(table, scale):
     expected = (dx * dy).sum() / math.sqrt((dx != 0).sum() * (dy != 0).sum())
     got = {
         (r["i"], r["j"]): r["correlation"]
-        for r in association.correlation(df, ["x", "y"], "kendall", scale).collect()
+        for r in association.correlation(df, ["x", "y"], "kendall").collect()
     }
     assert got[(0, 1)] == got[(1, 0)] == pytest.approx(expected, abs=1e-12)
     assert got[(0, 0)] == pytest.approx(1.0)
