@@ -9,9 +9,10 @@ is plain Jaccard if all weights are one. Texts with repeated shingles are
 sketched twice, with counts as weights and with ones.
 
 Bands of registers give buckets. A bucket's texts are compared with pivots, not
-with each other; only where that leaves several classes in a bucket are the
-remaining pairs across classes compared too. Every compared pair is verified on
-the full sets, and classes are the connected components of the verified links.
+with each other. Where that leaves several classes in a bucket, the texts outside
+its largest class are compared with the others: as pairs in small buckets, in
+blocks of texts, without a row per pair, in large ones. Every link is verified on
+the full sets, and classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.wordwise import as_texts, slices
+from stayscope.llm.wordwise import as_texts, run_sums, slices
 from stayscope.session import cut_lineage
 
 #: Words of a shingle, and the least similarity of a link.
@@ -34,6 +35,12 @@ WORDS, SIMILAR = 5, 0.8
 #: Bands and registers of a band: a pair at the threshold is missed with 3 in a million.
 BANDS, ROWS = 32, 5
 
+#: A bucket with more pairs across classes than this is compared in blocks of texts.
+PAIRS, BLOCK = 4_096, 256
+
+#: Rows whose sets a task unpacks at once.
+UNPACKED = 500
+
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -191,7 +198,7 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> Dat
     """The pairs (``a``, ``b``) whose similarity on the full sets is ``similar`` or more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, UNPACKED) for b in batches for at in range(0, b.num_rows, UNPACKED)):
             found = [
                 similarity(_set(ah, ac), _set(bh, bc))
                 for ah, ac, bh, bc in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
@@ -206,6 +213,63 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> Dat
     return joined.mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def _links_of_block(members: list[dict], similar: float) -> list[tuple[bytes, bytes, float]]:
+    """Links between the texts of a block (side 0) and those asked for (side 1), one
+    for each text asked for and each other class: connection is all that counts."""
+    block = [m for m in members if m["side"] == 0]
+    sets = [_set(m["hashes"], m["counts"]) for m in block]
+    sizes = np.array([len(s) for s, _ in sets], np.int64)
+    different, where = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True)
+    labels = np.array([m["label"] for m in block], object)
+    plain = np.array([not m["counts"] for m in block])
+    out = []
+    for m in (m for m in members if m["side"] == 1):
+        own = _set(m["hashes"], m["counts"])
+        at = np.minimum(np.searchsorted(different, own[0]), len(different) - 1)
+        held = np.zeros(len(different), np.int64)
+        held[at[different[at] == own[0]]] = 1
+        both = run_sums(held[where], sizes)
+        near = both / np.maximum(1, sizes + len(own[0]) - both)
+        for j in np.flatnonzero((both > 0) & (near < similar) & (~plain | bool(m["counts"]))).tolist():
+            near[j] = similarity(own, sets[j])
+        seen = set()
+        for j in np.flatnonzero(near >= similar).tolist():
+            if labels[j] != m["label"] and labels[j] not in seen:
+                seen.add(labels[j])
+                out.append((*sorted((m["node"], block[j]["node"])), float(near[j])))
+    return out
+
+
+def links_in_blocks(open_: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Links across classes in large buckets (``key``, ``node``, ``label``, ``main``, ``n``,
+    ``minor``), found block against block."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = _links_of_block(batch.column(0)[i].as_py(), similar)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.float64()))],
+                    names=["a", "b", "similarity"],
+                )
+
+    blocks, asks = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("minor") / BLOCK)
+    place = F.xxhash64("node", "key")
+
+    def every(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+    against = open_.select("key", "node", "label", F.pmod(place, blocks).alias("block"), every(asks).alias("ask"), F.lit(0).alias("side"))
+    asked = open_.filter(F.col("label") != F.col("main")).select(
+        "key", "node", "label", every(blocks).alias("block"), F.pmod(place, asks).alias("ask"), F.lit(1).alias("side"),
+    )
+    met = against.unionAll(asked.select("key", "node", "label", "block", "ask", "side")).join(sets, "node")
+    gathered = met.groupBy("key", "block", "ask").agg(
+        F.collect_list(F.struct("side", "node", "label", "hashes", "counts")).alias("members"), F.min("side").alias("least"), F.max("side").alias("most"),
+    )
+    return gathered.filter("least < most").select("members").mapInArrow(run, "a binary, b binary, similarity double")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Least node of the connected component of every node of ``edges`` (``a``, ``b``).
 
@@ -268,13 +332,19 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     # what is left: pairs across classes, outside the largest class of the bucket against all
     known = cut_lineage(_labelled(members.select("key", "node"), labels))
-    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed_keys = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "label"))["label"].alias("main")).filter("classes > 1")
-    open_ = cut_lineage(known.join(mixed_keys.select("key", "main"), "key"))
-    minor = open_.filter(F.col("label") != F.col("main")).select("key", F.col("node").alias("one"), F.col("label").alias("of"))
-    across = open_.join(minor, "key").filter(F.col("label") != F.col("of")).select(*pair(F.col("one"), F.col("node")))
+    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("of_class"))
+    several = sizes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.struct("of_class", "label")).alias("largest"), F.sum("of_class").alias("n"),
+    ).filter("classes > 1").select(
+        "key", F.col("largest.label").alias("main"), "n", (F.col("n") - F.col("largest.of_class")).alias("minor"),
+    )
+    open_ = cut_lineage(known.join(several, "key"))
+    few = F.col("n") * F.col("minor") <= PAIRS
+    small = open_.filter(few)
+    minor = small.filter(F.col("label") != F.col("main")).select("key", F.col("node").alias("one"), F.col("label").alias("of"))
+    across = small.join(minor, "key").filter(F.col("label") != F.col("of")).select(*pair(F.col("one"), F.col("node")))
     third = across.distinct().join(tried, ["a", "b"], "left_anti")
-    edges = edges.unionAll(cut_lineage(verified(third, sets)))
+    edges = edges.unionAll(cut_lineage(verified(third, sets))).unionAll(cut_lineage(links_in_blocks(open_.filter(~few), sets)))
     membership = sketched.select("doc_id", "node").unionAll(rows.filter(F.col("text").isNull()).select("doc_id", "node"))
     return membership, components(edges)
 

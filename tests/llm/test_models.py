@@ -1,0 +1,180 @@
+"""Toxicity, mixture and the prefix forest against plain computations."""
+
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from stayscope.llm import bytebpe, forest, mixture, toxicity
+from stayscope.llm.wordwise import as_texts
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_sentences_lie_where_they_say():
+    texts = ["One two. Three four!\nfive", "", "no end", "\n\nx\n", "a  b.  c", "w " * 200]
+    s = toxicity.sentences_of(as_texts(pa.array(texts)))
+    at = 0
+    for t, n in zip(texts, s.text_sentences.tolist(), strict=True):
+        spans = list(zip(s.begin[at:at + n].tolist(), s.end[at:at + n].tolist(), strict=True))
+        assert n >= 1 and "".join(t[a:b] for a, b in spans) == t
+        at += n
+    assert [t for t in ("One two. ", "Three four!", "five")] == [texts[0][a:b].strip("\n") for a, b in zip(s.begin[:4], s.end[:4], strict=True) if texts[0][a:b].strip()]
+
+
+def test_noisy_or_is_learned_from_document_labels():
+    rng = np.random.default_rng(5)
+    common = [f"w{i}" for i in range(40)]
+    texts, labels = [], []
+    for k in range(300):
+        sentences = [" ".join(rng.choice(common, 6)) + "." for _ in range(rng.integers(2, 9))]
+        if k % 2:
+            at = rng.integers(len(sentences))
+            sentences[at] = sentences[at][:-1] + " vileword."
+        texts.append(" ".join(sentences))
+        labels.append(k % 2)
+    s = toxicity.sentences_of(as_texts(pa.array(texts)))
+    own = [toxicity.features_of(t) for t in s.tokens]
+    flat = np.array([f for c in s.codes for f in own[c]])
+    n = np.array([len(own[c]) for c in s.codes])
+    per = np.add.reduceat(n, np.cumsum(s.sentence_tokens) - s.sentence_tokens)
+    model = toxicity.fit(flat, per, s.text_sentences, np.array(labels))
+    score, found, p = toxicity.Scorer(model).score(as_texts(pa.array(texts)))
+    assert ((score >= 0.5) == np.array(labels)).all()
+    owner = np.repeat(np.arange(300), found.text_sentences)
+    for i in np.flatnonzero(p >= 0.5):
+        assert "vileword" in texts[owner[i]][found.begin[i]:found.end[i]]
+    doc = 1 - np.array([np.prod(1 - p[owner == k]) for k in range(300)])
+    assert np.allclose(doc, score)
+
+
+def test_toxicity_of_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity_table(docs, labels)
+    rows = got.collect()
+    assert len(rows) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    met = got.join(labels, "doc_id").filter("held_out").collect()
+    assert np.mean([r.predicted == r.toxic for r in met]) > 0.9
+    kept = toxicity.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns and kept.count() == sum(not r.predicted for r in rows)
+    # labels of held-out rows are never read
+    flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert {(r.doc_id, r.score) for r in toxicity.toxicity_table(docs, flipped).collect()} == {(r.doc_id, r.score) for r in rows}
+
+
+def test_toxicity_without_teachers_and_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None, 1), (None, "x", 1), (2, "", 1), (2, "", 1), (3, "y " * 50_000, 1)], "doc_id long, text string, score int")
+    empty = spark.createDataFrame([], "doc_id long, toxic int")
+    got = toxicity.toxicity_table(docs, empty).collect()
+    assert [r.score for r in got] == [0.0] * 5
+    assert toxicity.toxicity_table(docs.limit(0), empty).count() == 0
+    assert toxicity.drop_toxic(docs, empty).count() == 5
+
+
+def test_rake_meets_the_marginals():
+    rng = np.random.default_rng(2)
+    members = [np.repeat(np.arange(3), 4), np.tile(np.arange(4), 3)]
+    weights = rng.random(12) + 0.1
+    targets = [np.array([0.5, 0.3, 0.2]), np.array([0.1, 0.2, 0.3, 0.4])]
+    got = weights * mixture.rake(weights, members, targets)
+    for own, target in zip(members, targets, strict=True):
+        assert np.allclose(np.bincount(own, got) / got.sum(), target, atol=1e-9)
+    # odds ratios stay those of the weights
+    table, before = got.reshape(3, 4), weights.reshape(3, 4)
+    assert np.isclose(table[0, 0] * table[1, 1] / table[0, 1] / table[1, 0], before[0, 0] * before[1, 1] / before[0, 1] / before[1, 0])
+    assert mixture.rake(np.zeros(2), [np.array([0, 1])], [np.array([0.5, 0.5])]).tolist() == [1, 1]
+
+
+def test_mixture_of_the_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("tokens", F.lit("clash"))
+    vocabulary = bytebpe.vocabulary_path()
+    got = mixture.mixture_table(docs, vocabulary).toPandas()
+    assert len(got) == 1000 and got.probability.between(0, 1).all() and np.isclose(got.probability.max(), 1)
+    encoder = bytebpe.byte_encoder(vocabulary)
+    texts = {r.doc_id: r.text for r in docs.limit(50).collect()}
+    assert all(got.tokens[got.doc_id == k].item() == len(encoder.whole(t)) + 1 for k, t in texts.items())
+    for c in ("source", "lang", "topic"):
+        now = got.groupby(c).tokens.sum() / got.tokens.sum()
+        want = now**mixture.TEMPER / (now**mixture.TEMPER).sum()
+        raked = (got.tokens * got.weight).groupby(got[c]).sum()
+        assert np.allclose(raked / raked.sum(), want, atol=1e-6)
+    again = mixture.mix_documents(docs, vocabulary)
+    assert again.columns == docs.columns
+    assert {r.doc_id for r in again.collect()} == set(got.doc_id[got.kept])
+    given = mixture.mixture_table(docs, vocabulary, {"lang": {"de": 0.5, "en": 0.5}}).toPandas()
+    share = (given.tokens * given.weight).groupby(given.lang).sum()
+    assert np.isclose(share["de"], share["en"]) and share["fr"] == 0 and not given.kept[given.lang == "fr"].any()
+
+
+def test_mixture_odd_rows(spark):
+    rows = [(1, None, None, None), (1, None, None, None), (None, "a b", "s", "en"), (3, "", "s", None), (4, "c d", "t", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = mixture.mixture_table(docs, bytebpe.vocabulary_path()).collect()
+    assert len(got) == 5 and all(r.probability is not None for r in got)
+    assert mixture.mixture_table(docs.limit(0), bytebpe.vocabulary_path()).count() == 0
+    uniform = mixture.mixture_table(docs, bytebpe.vocabulary_path(), {c: {} for c in mixture.DIMENSIONS}).collect()
+    assert all(r.kept for r in uniform)
+
+
+def test_candidates_come_by_longest_prefix():
+    rng = np.random.default_rng(4)
+    strings = rng.integers(0, 2**forest.BITS, (forest.TREES, 300)).astype(np.uint32)
+    places = np.argsort(strings, axis=1).astype(np.uint32)
+    ordered = np.take_along_axis(strings, places.astype(np.int64), 1)
+    query = strings[:, 17]
+    shared = np.array([[forest.BITS - int(a ^ b).bit_length() for a, b in zip(row, [q] * 300, strict=True)] for row, q in zip(strings.tolist(), query.tolist(), strict=True)])
+    for wanted in (1, 100, 400, 10**9):
+        got = forest.candidates(query, ordered, places, wanted, 2)
+        level = next((x for x in range(forest.BITS, -1, -1) if (shared >= x).sum() >= wanted and (shared >= x).any(0).sum() >= 2), 0)
+        assert (got[(shared > level).any(0)]).all() and not got[~(shared >= level).any(0)].any()
+
+
+def brute(ids, vectors, query, k=5):
+    i = ids.index(query)
+    v = np.array(vectors, float)
+    score = (v * v[i]).sum(1) / np.sqrt((v * v).sum(1)) / np.sqrt((v[i] * v[i]).sum())
+    order = sorted((j for j in range(len(ids)) if j != i), key=lambda j: (-score[j], ids[j]))[:k]
+    return [ids[j] for j in order]
+
+
+def test_forest_recall_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(forest, "SHARD_ROWS", 150)
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 4)
+    table = spark.read.parquet(f"{SF}/embeddings.parquet").withColumn("score", F.lit("clash"))
+    got = forest.nearest(table, table.filter("vec_id % 20 = 0")).collect()
+    rows = table.collect()
+    ids, vectors = [r.vec_id for r in rows], [r.embedding for r in rows]
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    hits = 0
+    for q, own in found.items():
+        assert sorted(own) == [1, 2, 3, 4, 5]
+        scores = [own[k] for k in range(1, 6)]
+        assert scores == sorted(scores, key=lambda s: (-s[1], s[0]))
+        hits += len({v for v, _ in scores} & set(brute(ids, vectors, q)))
+    assert len(found) == 25 and hits / 125 >= 0.9
+
+
+def test_forest_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (50, [2.0, 0.0]), (3, [1.0, 0.0]), (7, [1.0, 0.0]), (100, [0.0, 0.0]), (150, None), (200, [float("nan"), 1.0]),
+            (250, [float("inf"), 1.0]), (300, [None, 1.0]), (None, [1.0, 1.0]), (350, [1.0]), (3, [1.0, 0.0]), (400, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = forest.nearest(table, table.filter("vec_id % 50 = 0")).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by == {0: [3, 7, 50], 50: [0, 3, 7]}
+    assert forest.nearest(table.limit(0), table.limit(0)).count() == 0
+    one = table.filter("vec_id = 50")
+    assert forest.nearest(one, one).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+def test_topics_of_few_rows(n):
+    vectors = mixture.word_vectors(as_texts(pa.array(["a b", "c d", ""][:n], pa.string())))
+    assert len(mixture.fit_topics(vectors)) == max(1, n)
