@@ -14,7 +14,7 @@ from stayscope.session import cut_lineage
 BITS = 5
 
 #: Rows that an ordered group of a cell holds on average.
-GROUP_ROWS = 2_000
+GROUP_ROWS = 500
 
 
 def order_code(column: Column, kind: str) -> Column:
