@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from stayscope.functions import fixed
 
 
+#: Column of values that did not fit their type.
+TYPE_FAULTS = "type_faults"
+
+
 class ContractError(ValueError):
     """Raised with every violated rule, not only the first."""
 
@@ -127,7 +131,8 @@ def key_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The count is combined before the shuffle, so one key on a third of all rows
     is one row per task; nothing is joined back.
     """
-    key = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in columns]
+    key = F.concat_ws("|", *parts)
     return (
         df.groupBy(*columns)
         .agg(F.count("*").alias("n_rows"))
@@ -183,8 +188,14 @@ def mark_violations(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def separate(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, quarantined rows with their violations). Works on streams."""
+    """(valid rows, quarantined rows with their violations). Works on streams.
+
+    Values that did not fit their type (``type_faults`` of the rows to score) count
+    as violations of the rule ``type``.
+    """
     marked = mark_violations(df, contract)
+    if TYPE_FAULTS in df.columns:
+        marked = marked.withColumn("violations", F.concat(TYPE_FAULTS, "violations")).drop(TYPE_FAULTS)
     good = marked.filter(F.size("violations") == 0).drop("violations")
     return good, marked.filter(F.size("violations") > 0)
 

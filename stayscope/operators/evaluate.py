@@ -21,8 +21,13 @@ SWEEP_METRICS = ("precision", "recall", "f1", "accuracy", "positive_rate")
 
 
 def curve(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct probabilities, highest first: tp, n, running and total sums."""
-    distinct = scores.groupBy(*keys, "p").agg(
+    """Distinct probabilities, highest first: tp, n, running and total sums.
+
+    A missing or NaN probability raises: metrics over part of the rows would mislead.
+    """
+    missing = F.raise_error("a score is null or NaN")
+    p = F.when(F.col("p").isNull() | F.isnan("p"), missing).otherwise(F.col("p"))
+    distinct = scores.withColumn("p", p).groupBy(*keys, "p").agg(
         F.sum(F.col("y").cast("long")).alias("tp"), F.count("*").alias("n")
     )
     return running_sums(distinct, "p", ["tp", "n"], keys, descending=True)

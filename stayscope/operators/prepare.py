@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions import columns as C
 from stayscope.functions import fixed
+from stayscope.operators.contract import TYPE_FAULTS, ContractError
 
 
 def cast_accounts(df: DataFrame) -> DataFrame:
@@ -24,22 +25,49 @@ def cast_accounts(df: DataFrame) -> DataFrame:
 
 
 def scoring_rows(df: DataFrame) -> DataFrame:
-    """Typed rows to score: optional key and senior flag filled in, target not needed."""
+    """Typed rows to score: optional key and senior flag filled in, target not needed.
+
+    Fields outside the contract raise. A number that does not fit its type becomes
+    null and is listed in ``type_faults`` (added only if a column has another type
+    than the contract's), which :func:`stayscope.operators.contract.separate` turns
+    into a broken rule of that row, so one bad value never stops a batch.
+    """
+    wanted = [c for c in fixed.RAW_COLUMNS if c != fixed.TARGET]
+    unknown = [c for c in df.columns if c not in (*wanted, TYPE_FAULTS)]
+    if unknown:
+        raise ContractError([f"unexpected column {c}" for c in unknown])
     out = df
     if fixed.KEY not in df.columns:
         out = out.withColumn(fixed.KEY, F.lit(None).cast("string"))
     if "SeniorCitizen" not in df.columns:
         out = out.withColumn("SeniorCitizen", F.lit(0).cast("tinyint"))
-    wanted = [c for c in fixed.RAW_COLUMNS if c != fixed.TARGET]
     C.require_columns(out, wanted)
     types = fixed.NUMERIC_TYPES
-    extra = [c for c in out.columns if c not in wanted]
-    return out.select(*wanted, *extra).select(
+    held = dict(out.dtypes)
+    doubtful = [c for c in wanted if c in types and held[c] != types[c]]
+    faults = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+                    & F.col(c).try_cast(types[c]).isNull(),
+                    F.struct(
+                        F.lit("type").alias("rule"),
+                        F.lit(c).alias("column"),
+                        F.col(c).cast("string").alias("value"),
+                    ),
+                )
+                for c in doubtful
+            ]
+        )
+    )
+    kept = [TYPE_FAULTS] if TYPE_FAULTS in held else [faults.alias(TYPE_FAULTS)] if doubtful else []
+    return out.select(
         *[
-            C.no_nan(F.col(c).cast(types.get(c, "string")), types.get(c, "string")).alias(c)
+            C.no_nan(F.col(c).try_cast(types.get(c, "string")), types.get(c, "string")).alias(c)
             for c in wanted
         ],
-        *extra,
+        *kept,
     )
 
 

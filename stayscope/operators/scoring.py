@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from stayscope.functions import columns as C
 from stayscope.functions import fixed
 from stayscope.operators import models
-from stayscope.operators.contract import check_threshold
+from stayscope.operators.contract import (
+    check_threshold,
+    require_rows,
+    scoring_contract,
+    separate,
+)
 from stayscope.operators.prepare import derive_features, scoring_rows
 
 
@@ -54,13 +59,21 @@ def score_accounts(rows: DataFrame, pipeline: PipelineModel) -> DataFrame:
     """Contract rows → (key, p): derived features, encoding and model, all narrow.
 
     ``pipeline`` is the scoring pipeline of :mod:`stayscope.plans.training`; it
-    works on batch and streaming frames alike.
+    works on batch and streaming frames alike. Columns outside the scoring
+    contract, such as a known target, are not read.
     """
-    derived = derive_features(scoring_rows(rows))
+    known = [c for c in rows.columns if c in fixed.RAW_COLUMNS and c != fixed.TARGET]
+    derived = derive_features(scoring_rows(rows.select(*known)))
     out = pipeline.transform(derived)
     return out.select(fixed.KEY, models.positive_probability(out).alias("p"))
 
 
+def score_batch(rows: DataFrame, pipeline: PipelineModel, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(predictions of the valid rows, quarantined rows) of a batch that must not be empty."""
+    valid, bad = separate(scoring_rows(require_rows(rows)), scoring_contract())
+    return predictions(score_accounts(valid, pipeline), threshold), bad
+
+
 def with_facts(predicted: DataFrame, facts: DataFrame) -> DataFrame:
     """Add the columns of the one-row ``facts`` table to every prediction."""
     row = facts.select(F.struct("*").alias("f")).scalar()

@@ -1008,6 +1008,7 @@ def _build() -> dict[str, str]:
         f'enc AS (SELECT "customerID" AS kid, {columns} FROM gd, med, mom) '
         f'SELECT kid AS "customerID", {r(f"1 / (1 + exp(-({_LINEAR_SQL})))", 3)} AS probability FROM enc'
     )
+    q["streamed_quarantine"] = f'SELECT rule, "column", n FROM ({q["scoring_quarantine"]}) s'
     return q
 
 

@@ -903,6 +903,21 @@ def batch_summary(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def streamed_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts landed as files, scored by a stream with quarantine, read back."""
+    return tidy(
+        spark.read.parquet(f"{_stream(spark, folder)}/predictions").select(
+            "customerID", F.round("probability", 3).alias("probability")
+        )
+    )
+
+
+@register
+def streamed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the same stream keeps out, by rule and column."""
+    bad = spark.read.parquet(f"{_stream(spark, folder)}/quarantine")
+    return bad.groupBy("rule", "column").agg(F.count("*").alias("n"))
+
+
+def _stream(spark: SparkSession, folder: str) -> str:
     work = fresh_path(spark, "stream")
     landed = broken_accounts(spark, folder).drop(fixed.TARGET)
     landed.write.parquet(f"{work}/landed")
@@ -913,11 +928,7 @@ def streamed_predictions(spark: SparkSession, folder: str) -> DataFrame:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return tidy(
-        spark.read.parquet(f"{work}/out/predictions").select(
-            "customerID", F.round("probability", 3).alias("probability")
-        )
-    )
+    return f"{work}/out"
 
 
 @register

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 
 from stayscope.operators.models import algorithm
 
+#: One path segment that is not hidden.
+MODEL_NAME = re.compile(r"[^./][^/]*")
+
 MANIFEST = (
     "name string, algorithm string, created_at string, hash_model string, "
     "feature_set array<string>, metrics map<string, map<string, double>>, "
@@ -24,7 +28,7 @@ def save_model(
     model: PipelineModel, name: str, folder: str, metadata: Mapping | None = None
 ) -> dict:
     """Write pipeline and manifest; returns the manifest."""
-    if not name or "/" in name or name.startswith("."):
+    if not MODEL_NAME.fullmatch(name or ""):
         raise ValueError(f"invalid model name {name!r}")
     spark = SparkSession.active()
     path = f"{folder}/{name}/pipeline"
@@ -55,9 +59,12 @@ def load_model(spark: SparkSession, name: str, folder: str) -> tuple[PipelineMod
     """Pipeline and manifest; either one missing raises."""
     try:
         manifest = spark.read.text(f"{folder}/{name}/manifest").first()
-        model = PipelineModel.load(f"{folder}/{name}/pipeline")
-    except Exception as error:
+        spark.read.text(f"{folder}/{name}/pipeline/metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no model {name!r} under {folder}") from error
+    model = PipelineModel.load(f"{folder}/{name}/pipeline")
     if manifest is None:
         raise FileNotFoundError(f"no manifest of {name!r} under {folder}")
     return model, json.loads(manifest["value"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,19 +41,23 @@ def run_scoring(
 ) -> StreamingQuery:
     """Start one query that writes predictions and quarantine, each once per batch.
 
-    Every micro-batch overwrites its own ``batch=<id>`` folder, so a batch that
-    is repeated after a failure replaces its output instead of adding to it.
+    Every micro-batch overwrites its own ``run=<checkpoint>/batch=<id>`` folder, so
+    a batch repeated after a failure replaces its output instead of adding to it,
+    and a run with a new checkpoint leaves the output of earlier ones alone.
     """
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = scoring_rows(batch).persist()  # read once for both outputs
-        valid, bad = separate(rows, scoring_contract())
-        scored = predictions(score_accounts(valid, pipeline), threshold)
-        scored.write.mode("overwrite").parquet(f"{output}/predictions/batch={batch_id}")
-        bad.select("customerID", F.explode("violations").alias("v")).select(
-            "customerID", "v.rule", "v.column", "v.value"
-        ).write.mode("overwrite").parquet(f"{output}/quarantine/batch={batch_id}")
-        rows.unpersist()
+        try:
+            valid, bad = separate(rows, scoring_contract())
+            scored = predictions(score_accounts(valid, pipeline), threshold)
+            scored.write.mode("overwrite").parquet(f"{output}/predictions/run={run}/batch={batch_id}")
+            bad.select("customerID", F.explode("violations").alias("v")).select(
+                "customerID", "v.rule", "v.column", "v.value"
+            ).write.mode("overwrite").parquet(f"{output}/quarantine/run={run}/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
     return (
         arrivals.writeStream.foreachBatch(write)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from stayscope.functions import fixed
+from stayscope.operators import scoring
+from stayscope.operators.contract import ContractError
 from stayscope.plans import training
 from stayscope.plans.registered import typed_accounts
 from stayscope.plans.snapshot import customer_snapshot, subscriber_rows
@@ -143,11 +145,36 @@ def test_stream_equals_batch_and_quarantines(spark, run, tmp_path):
         query.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out/predictions"))
     batch = streaming.score_stream(spark.read.parquet(str(tmp_path / "in")), model, 0.5)
-    assert sorted(map(tuple, got.drop("batch").collect())) == sorted(map(tuple, batch.collect()))
+    assert sorted(map(tuple, got.drop("batch", "run").collect())) == sorted(map(tuple, batch.collect()))
     bad = spark.read.parquet(str(tmp_path / "out/quarantine")).collect()
     assert [(r["customerID"], r["rule"], r["value"]) for r in bad] == [("0003-AAAAA", "range", "99")]
 
 
+def test_a_bad_value_is_quarantined_and_a_new_run_adds(spark, run, tmp_path):
+    folder, _, _ = run
+    model, _ = registry.load_model(spark, "logreg_l1", f"{folder}/models")
+    rows = typed_accounts(spark, SF).drop("Churn").limit(20).withColumn(
+        "tenure", F.when(F.col("customerID") == F.lit("none"), 1).otherwise(F.col("tenure")).cast("int")
+    )
+    first = rows.orderBy("customerID").first()["customerID"]
+    rows = rows.withColumn("tenure", F.when(F.col("customerID") == first, 40_000).otherwise(F.col("tenure")))
+    rows.write.parquet(str(tmp_path / "in"))
+    for k in range(2):
+        arrivals = streaming.read_arrivals(spark, str(tmp_path / "in"), rows.schema)
+        streaming.run_scoring(
+            arrivals, model, 0.5, str(tmp_path / "out"), str(tmp_path / f"cp{k}")
+        ).awaitTermination(120)
+    bad = spark.read.parquet(str(tmp_path / "out/quarantine"))
+    assert {(r["customerID"], r["value"]) for r in bad.filter("rule = 'type'").collect()} == {(first, "40000")}
+    assert spark.read.parquet(str(tmp_path / "out/predictions")).count() == 2 * 19
+    scored, kept_out = scoring.score_batch(spark.read.parquet(str(tmp_path / "in")), model, 0.5)
+    assert (scored.count(), kept_out.count()) == (19, 1)
+    with pytest.raises(ContractError, match="empty"):
+        scoring.score_batch(rows.limit(0), model, 0.5)
+    with pytest.raises(ContractError, match="unexpected column age"):
+        scoring.score_batch(rows.withColumn("age", F.lit(1)), model, 0.5)
+
+
 def test_selection_tables(spark, tmp_path):
     from stayscope.operators import ranking
 
