@@ -113,7 +113,7 @@ def test_shards_are_even_runs_of_the_curve(spark):
         if r.doc_id != 5:
             assert (r.size, r.text_crc32) == (len(raw.encode()) + 16, zlib.crc32(raw.encode()))
     sources = sum(len({r.source for r in own}) for own in by.values()) / 40
-    assert sources < len({r.source for r in got}) / 2  # files can be skipped by source
+    assert sources < len({r.source for r in got}) * 2 / 3  # a reader of one source can skip files
     assert hilbert.shard_documents(rows.limit(0)).count() == 0
     assert {r.shard for r in hilbert.shard_documents(rows.filter("doc_id = 7")).collect()} == {0}
 
