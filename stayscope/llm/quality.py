@@ -140,7 +140,9 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Threshold] = BASE, r
 def quality_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, the base measures, ``base_failed``, ``kept`` and the names of the broken rules.
 
-    Repeated rows stay, null keys too; other columns are not read.
+    Repeated rows stay, null keys too; other columns are not read. Store the table
+    before filtering it: Spark moves a filter below the measures, where each use of a
+    word list builds it anew. :func:`keep_good` filters without that.
     """
     m = judge(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

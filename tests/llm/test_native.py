@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stayscope.llm import hilbert, hosts, oracles, quality
 from stayscope.llm.queries import QUERIES
+from stayscope.session import cut_lineage
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -47,7 +48,7 @@ def test_quality_measures_and_base(spark):
 def test_quality_keeps_good_labels_and_drops_bad(spark):
     got = quality.quality_table(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    met = got.join(labels, "doc_id")
+    met = cut_lineage(got).join(labels, "doc_id")
     assert met.filter("quality = 0 and kept").count() == 0
     assert met.filter("quality = 1 and not base_failed and not kept").count() == 0
 
