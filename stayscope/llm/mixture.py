@@ -26,6 +26,9 @@ NAMED_VALUES = 200
 #: Default targets: shares to this power, so that small sources gain.
 TEMPER = 0.7
 
+#: Share of all tokens that the sample is expected to hold.
+KEPT_SHARE = 0.5
+
 ROUNDS, TOLERANCE = 200, 1e-10
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -121,6 +124,24 @@ def rake(weights: np.ndarray, members: Sequence[np.ndarray], targets: Sequence[n
     return factor
 
 
+def sampling_rate(weights: np.ndarray, factor: np.ndarray, share: float = KEPT_SHARE) -> float:
+    """The multiplier c at which min(1, c * factor) keeps ``share`` of the weight, by bisection.
+
+    Where the cells with a factor hold less than that, all of them are kept whole.
+    """
+    wanted, held = share * weights.sum(), factor > 0
+    if not held.any() or weights[held].sum() <= wanted:
+        return float("inf")
+    low, high = 0.0, 1 / factor[held].min()
+    for _ in range(200):
+        middle = (low + high) / 2
+        if (weights * np.minimum(1, middle * factor)).sum() < wanted:
+            low = middle
+        else:
+            high = middle
+    return high
+
+
 def _named(rows: DataFrame, column: str) -> list:
     """The heaviest values of a dimension, null among them if heavy enough."""
     sums = rows.groupBy(column).agg(F.sum("_tokens").alias("t"))
@@ -143,10 +164,11 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
 
     ``targets`` maps a dimension to the wanted share of each value (others none);
     a missing dimension takes its own shares to the power ``TEMPER``. A cell's
-    weight is the factor raking gives its tokens; the probability is the weight
-    over the greatest weight, so expected tokens meet the targets and no document
-    is needed twice. A document stays if a uniform number from ``_hash`` and the
-    seed lies below: rows alike in key and text share their fate.
+    weight is the factor raking gives its tokens. Probabilities are the weights times
+    one number, at most 1, so that ``KEPT_SHARE`` of the tokens is expected to stay:
+    the targets are met as far as cells hold enough, and a scarce cell, kept whole,
+    does not shrink the rest. A document stays if a uniform number from ``_hash`` and
+    the seed lies below: rows alike in key and text share their fate.
     """
     spark = rows.sparkSession
     columns = ["source", "lang", "_topic"]
@@ -166,11 +188,11 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
         else:
             wanted.append(np.power(share / max(share.sum(), 1.0), TEMPER))
     factor = rake(weights, members, wanted)
-    most = factor[weights > 0].max() if (weights > 0).any() else 1.0
+    rate = sampling_rate(weights, factor) if len(cells) else 1.0
     schema = T.StructType([*(T.StructField(k, T.IntegerType()) for k in keys), T.StructField("_weight", T.DoubleType()),
                            T.StructField("_probability", T.DoubleType())])
     found = spark.createDataFrame(
-        [(c[0], c[1], c[2], float(f), float(min(1.0, f / most))) for c, f in zip(cells, factor, strict=True)], schema,
+        [(c[0], c[1], c[2], float(f), float(min(1.0, f * rate) if f > 0 else 0.0)) for c, f in zip(cells, factor, strict=True)], schema,
     )
     uniform = F.shiftrightunsigned(F.xxhash64("_hash", F.lit(seed)), 11) / F.lit(float(2**53))
     return placed.join(F.broadcast(found), keys, "left").withColumn("_kept", uniform < F.col("_probability")).drop(*keys)
