@@ -39,7 +39,7 @@ BANDS, ROWS = 32, 5
 PAIRS, BLOCK = 4_096, 256
 
 #: Rows whose sets a task unpacks at once.
-UNPACKED = 500
+UNPACKED = 200
 
 GOLDEN = 0x9E3779B97F4A7C15
 

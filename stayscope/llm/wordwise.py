@@ -26,7 +26,7 @@ BLANK_RUN = r" [\s\x0b\x1c-\x1f\x{85}\pZ]"
 KEPT_IDS = 4_000_000
 
 #: Bytes of text that are worked on at once within a batch; a longer text stands alone.
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 6_000_000
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
