@@ -31,6 +31,10 @@ KEPT_SHARE = 0.5
 
 ROUNDS, TOLERANCE = 200, 1e-10
 
+#: The same for raking with probabilities of at most 1, and the halvings of the range in
+#: which the greatest share of tokens that meets all targets is searched.
+BOUND_ROUNDS, BOUND_TOLERANCE, SHARE_STEPS = 1_000, 1e-7, 8
+
 DIMENSIONS = ("source", "lang", "topic")
 
 
@@ -142,6 +146,64 @@ def sampling_rate(weights: np.ndarray, factor: np.ndarray, share: float = KEPT_S
     return high
 
 
+def bounded_rake(
+    weights: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.ndarray], kept: float,
+) -> np.ndarray | None:
+    """Probabilities min(1, product of a factor per dimension) that keep ``kept`` of the
+    weight, divided as ``shares`` say; None if raking does not come to them."""
+    total = kept * weights.sum()
+    factor = np.full(len(weights), kept)
+    for _ in range(BOUND_ROUNDS):
+        off = 0.0
+        for own, share in zip(members, shares, strict=True):
+            have = np.bincount(own, weights * np.minimum(1, factor), len(share))
+            scale = np.divide(total * share, have, out=np.ones(len(share)), where=have > 0)
+            off = max(off, np.abs(scale[have > 0] - 1).max())
+            factor = np.minimum(factor * scale[own], 1e100)
+        if off < BOUND_TOLERANCE:
+            return np.minimum(1, factor)
+    return None
+
+
+def exact_probabilities(
+    weights: np.ndarray, members: Sequence[np.ndarray], factor: np.ndarray, targets: Sequence[np.ndarray], most: float = KEPT_SHARE,
+) -> np.ndarray | None:
+    """Probabilities whose kept weight is divided as raking divides it (``factor``).
+
+    They keep ``most`` of the weight; where some value, or values of several dimensions
+    together, hold too little for that, the greatest share found that meets all targets.
+    Factors over the greatest one always meet them, so that share is where the search starts.
+    None if empty cells leave no answer at any share.
+    """
+    total = (weights * factor).sum()
+    if not total:
+        return np.zeros(len(weights))
+    shares = [np.bincount(own, weights * factor, len(target)) / total for own, target in zip(members, targets, strict=True)]
+    for share, target in zip(shares, targets, strict=True):
+        wanted = np.where(share > 0, np.maximum(target, 0), 0.0)
+        if wanted.sum() and np.abs(share - wanted / wanted.sum()).max() > BOUND_TOLERANCE:
+            return None
+    low = total / weights.sum() / factor[weights > 0].max()
+    if low >= most:
+        return most / low * factor / factor[weights > 0].max()
+    found = factor / factor[weights > 0].max()
+    high = most
+    for own, share in zip(members, shares, strict=True):
+        held = np.bincount(own, weights, len(share)) / weights.sum()
+        high = min(high, (held[share > 0] / share[share > 0]).min())
+    middle = high
+    for _ in range(SHARE_STEPS + 1):
+        tried = bounded_rake(weights, members, shares, middle)
+        if tried is None:
+            high = middle
+        else:
+            found, low = tried, middle
+        if low >= high:
+            break
+        middle = (low * high) ** 0.5
+    return found
+
+
 def _named(rows: DataFrame, column: str) -> list:
     """The heaviest values of a dimension, null among them if heavy enough."""
     sums = rows.groupBy(column).agg(F.sum("_tokens").alias("t"))
@@ -158,7 +220,7 @@ def _place(column: str, values: Sequence) -> Column:
     return out.cast("int")
 
 
-def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = None, seed: int = 1) -> DataFrame:
+def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = None, seed: int = 1, exact: bool = False) -> DataFrame:
     """Add ``_weight``, ``_probability`` and ``_kept`` to rows with source, lang,
     ``_topic``, ``_tokens`` and ``_hash``.
 
@@ -167,7 +229,10 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
     weight is the factor raking gives its tokens. Probabilities are the weights times
     one number, at most 1, so that ``KEPT_SHARE`` of the tokens is expected to stay:
     the targets are met as far as cells hold enough, and a scarce cell, kept whole,
-    does not shrink the rest. A document stays if a uniform number from ``_hash`` and
+    does not shrink the rest. With ``exact`` the cells are raked under that bound: expected
+    tokens meet all targets, ``_weight`` is the probability over the share of tokens kept,
+    and that share is less than ``KEPT_SHARE`` only where the targets cannot be met
+    with it; where empty cells leave no answer at any share, it is as without ``exact``. A document stays if a uniform number from ``_hash`` and
     the seed lies below: rows alike in key and text share their fate.
     """
     spark = rows.sparkSession
@@ -188,17 +253,24 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
         else:
             wanted.append(np.power(share / max(share.sum(), 1.0), TEMPER))
     factor = rake(weights, members, wanted)
-    rate = sampling_rate(weights, factor) if len(cells) else 1.0
+    chance = exact_probabilities(weights, members, factor, wanted) if exact and len(cells) else None
+    if chance is not None:
+        factor = chance * weights.sum() / max((chance * weights).sum(), 1e-300)
+    else:
+        rate = sampling_rate(weights, factor) if len(cells) else 1.0
+        chance = np.array([min(1.0, f * rate) if f > 0 else 0.0 for f in factor])
     schema = T.StructType([*(T.StructField(k, T.IntegerType()) for k in keys), T.StructField("_weight", T.DoubleType()),
                            T.StructField("_probability", T.DoubleType())])
     found = spark.createDataFrame(
-        [(c[0], c[1], c[2], float(f), float(min(1.0, f * rate) if f > 0 else 0.0)) for c, f in zip(cells, factor, strict=True)], schema,
+        [(c[0], c[1], c[2], float(f), float(p)) for c, f, p in zip(cells, factor, chance, strict=True)], schema,
     )
     uniform = F.shiftrightunsigned(F.xxhash64("_hash", F.lit(seed)), 11) / F.lit(float(2**53))
     return placed.join(F.broadcast(found), keys, "left").withColumn("_kept", uniform < F.col("_probability")).drop(*keys)
 
 
-def mixture_table(docs: DataFrame, vocabulary: str, targets: Mapping[str, Mapping] | None = None) -> DataFrame:
+def mixture_table(
+    docs: DataFrame, vocabulary: str, targets: Mapping[str, Mapping] | None = None, exact: bool = False,
+) -> DataFrame:
     """Per row: ``doc_id``, ``source``, ``lang``, ``topic``, ``tokens``, ``weight``,
     ``probability`` and ``kept``.
 
@@ -209,13 +281,41 @@ def mixture_table(docs: DataFrame, vocabulary: str, targets: Mapping[str, Mappin
     made = with_topic_and_tokens(chosen, train_topics(chosen), vocabulary).select(
         "doc_id", "source", "lang", "_topic", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
     )
-    mixed = mix_probabilities(cut_lineage(made), targets)
+    mixed = mix_probabilities(cut_lineage(made), targets, exact=exact)
     return mixed.select("doc_id", "source", "lang", *[
         F.col(f"_{c}").alias(c) for c in ("topic", "tokens", "weight", "probability", "kept")
     ])
 
 
-def mix_documents(docs: DataFrame, vocabulary: str, targets: Mapping[str, Mapping] | None = None) -> DataFrame:
+def mixture_shares(mixed: DataFrame, targets: Mapping[str, Mapping] | None = None) -> DataFrame:
+    """Per value of source, language and topic of a mixture table: ``dimension``, ``value``,
+    and its shares of tokens: wanted (``target``), ``expected`` and drawn (``sampled``)."""
+    parts = []
+    for name in DIMENSIONS:
+        sums = mixed.groupBy(F.col(name).alias("of")).agg(
+            F.sum("tokens").alias("t"), F.sum(F.col("tokens") * F.col("probability")).alias("e"),
+            F.sum(F.when(F.col("kept"), F.col("tokens")).otherwise(0)).alias("s"),
+        )
+        if targets and name in targets:
+            kind = mixed.schema[name].dataType
+            given = mixed.sparkSession.createDataFrame(
+                [(v, float(max(x, 0))) for v, x in targets[name].items()],
+                T.StructType([T.StructField("given", kind), T.StructField("w", T.DoubleType())]),
+            )
+            sums = sums.join(given, F.col("of").eqNullSafe(F.col("given")), "left").withColumn("w", F.coalesce("w", F.lit(0.0)))
+        else:
+            sums = sums.withColumn("w", F.pow(F.col("t").cast("double"), F.lit(TEMPER)))
+        whole = sums.agg(*[F.sum(c).alias(f"all_{c}") for c in ("w", "e", "s")])  # one row
+        parts.append(sums.crossJoin(F.broadcast(whole)).select(
+            F.lit(name).alias("dimension"), F.col("of").cast("string").alias("value"),
+            *[F.try_divide(F.col(c), F.col(f"all_{c}")).alias(to) for c, to in (("w", "target"), ("e", "expected"), ("s", "sampled"))],
+        ))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def mix_documents(
+    docs: DataFrame, vocabulary: str, targets: Mapping[str, Mapping] | None = None, exact: bool = False,
+) -> DataFrame:
     """The sampled rows, with the columns they came with, whatever their names."""
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "source", "lang",
@@ -223,4 +323,4 @@ def mix_documents(docs: DataFrame, vocabulary: str, targets: Mapping[str, Mappin
     made = with_topic_and_tokens(held, train_topics(held), vocabulary).select(
         "row", "source", "lang", "_topic", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
     )
-    return mix_probabilities(cut_lineage(made), targets).filter("_kept").select("row.*")
+    return mix_probabilities(cut_lineage(made), targets, exact=exact).filter("_kept").select("row.*")

@@ -52,7 +52,7 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raked_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixture_table(table(spark, sf_dir, "documents"), bytebpe.vocabulary_path())
+    return mixture_table(table(spark, sf_dir, "documents"), bytebpe.vocabulary_path(), exact=True)
 
 
 def ranked_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,36 @@ def test_mixture_of_the_documents(spark):
     assert np.isclose(share["de"], share["en"]) and share["fr"] == 0 and not given.kept[given.lang == "fr"].any()
 
 
+def test_expected_tokens_meet_the_targets(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for targets in (None, {"source": {f"src{i}": (10 + i) / 390 for i in range(20)}}):
+        table = mixture.mixture_table(docs, bytebpe.vocabulary_path(), targets, exact=True)
+        got = table.toPandas()
+        assert got.probability.between(0, 1).all()
+        kept = (got.tokens * got.probability).sum()
+        assert 0.01 * got.tokens.sum() < kept <= (mixture.KEPT_SHARE + 1e-6) * got.tokens.sum()
+        for c in ("source", "lang", "topic"):
+            now = got.groupby(c).tokens.sum() / got.tokens.sum()
+            want = now**mixture.TEMPER / (now**mixture.TEMPER).sum()
+            if targets and c in targets:
+                want = now.index.to_series().map(targets[c]).fillna(0)
+            share = (got.tokens * got.probability).groupby(got[c]).sum() / kept
+            assert np.allclose(share, want, atol=1e-6)
+        shares = mixture.mixture_shares(table, targets).toPandas()
+        assert len(shares) == sum(got[c].nunique() for c in ("source", "lang", "topic"))
+        assert np.allclose(shares.target, shares.expected, atol=1e-6)
+
+
+def test_bound_lowers_the_share_only_where_needed():
+    weights = np.array([40.0, 10.0, 40.0, 10.0])
+    members = [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])]
+    for target, kept in (([0.7, 0.3], 0.5), ([0.2, 0.8], 0.25)):
+        factor = mixture.rake(weights, members, [np.array([0.5, 0.5]), np.array(target)])
+        p = mixture.exact_probabilities(weights, members, factor, [np.array([0.5, 0.5]), np.array(target)])
+        assert np.isclose((p * weights).sum() / 100, kept, rtol=1e-3) and p.max() <= 1
+        assert np.allclose(np.bincount(members[1], p * weights) / (p * weights).sum(), target, atol=1e-6)
+
+
 def test_mixture_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (None, "a b", "s", "en"), (3, "", "s", None), (4, "c d", "t", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
