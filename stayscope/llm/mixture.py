@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,9 +16,15 @@ from stayscope.llm.bytebpe import byte_encoder
 from stayscope.llm.wordwise import as_texts, slices, word_codes
 from stayscope.session import cut_lineage
 
-#: Topics, hashed word counts they are found in, documents they are fitted on
-#: (those with the least hash of the key), and rounds of fitting.
-TOPICS, WIDTH, TOPIC_SAMPLE, TOPIC_ROUNDS = 8, 256, 2_000, 25
+#: Topics, hashed word counts they are found in, and rounds of fitting.
+TOPICS, WIDTH, TOPIC_ROUNDS = 8, 256, 25
+
+#: Keys, those with the least hash, among which the starting points of the rounds are spread.
+START_KEYS = 2_000
+
+#: Word vectors are stored as whole numbers up to this, so that their sums do not
+#: depend on the order of the rows.
+VECTOR_SCALE = 65_535
 
 #: Values of a dimension that keep a weight of their own, heaviest first; all others
 #: share one. Bounds the table of cells: 201 sources x 201 languages x 8 topics.
@@ -49,71 +56,132 @@ def word_vectors(texts: pa.Array) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
 
-def fit_topics(vectors: np.ndarray, topics: int = TOPICS) -> np.ndarray:
-    """Centres by k-means on the sphere, started from points evenly spread over the rows."""
-    if not len(vectors):
+def _unit(sums: np.ndarray) -> np.ndarray:
+    return sums / max(np.linalg.norm(sums), 1e-12)
+
+
+def centre_sums(stored: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Sum of the stored vectors nearest to each centre."""
+    own = np.argmax(stored @ centres.T, axis=1)
+    return np.stack([stored[own == k].sum(0, dtype=np.int64) for k in range(len(centres))])
+
+
+def find_centres(starts: np.ndarray, sums_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """K-means on the sphere: rounds of means over all rows, from the given starts."""
+    if not len(starts):
         return np.zeros((1, WIDTH))
-    k = min(topics, len(vectors))
-    found = vectors[np.arange(k) * len(vectors) // k].copy()
+    found, last = starts / float(VECTOR_SCALE), None
     for _ in range(TOPIC_ROUNDS):
-        own = np.argmax(vectors @ found.T, axis=1)
-        for k in range(len(found)):
-            if (own == k).any():
-                mean = vectors[own == k].sum(0)
-                found[k] = mean / max(np.linalg.norm(mean), 1e-12)
+        sums = sums_of(found)
+        if last is not None and (sums == last).all():
+            break
+        found = np.array([_unit(s.astype(float)) if s.any() else old for s, old in zip(sums, found, strict=True)])
+        last = sums
     return found
 
 
-def train_topics(docs: DataFrame, sample: int = TOPIC_SAMPLE) -> np.ndarray:
-    """Topic centres fitted on the ``sample`` keys with the least hash."""
-    keys = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+def spread(rows: np.ndarray, topics: int) -> np.ndarray:
+    k = min(topics, len(rows))
+    return rows[np.arange(k) * len(rows) // max(1, k)]
+
+
+def stored_vectors(vectors: np.ndarray) -> np.ndarray:
+    return np.rint(vectors * VECTOR_SCALE).astype("<u2")
+
 
-    def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 1)):
-            rows = word_vectors(as_texts(batch.column(1))).astype("<f4")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "v"])
+def fit_topics(vectors: np.ndarray, topics: int = TOPICS) -> np.ndarray:
+    """Centres of vectors in memory, started from points evenly spread over the rows."""
+    stored = stored_vectors(vectors)
+    return find_centres(spread(stored, topics), lambda centres: centre_sums(stored, centres))
+
+
+def _vectors(batch: pa.RecordBatch, column: int) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column(column).to_pylist()), "<u2").reshape(-1, WIDTH)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    # the keys are at most the sample size, so this side is small by the parameter
-    rows = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id").mapInArrow(
-        vectors, f"doc_id {kind}, v binary"
-    ).groupBy("doc_id").agg(F.min("v").alias("v")).orderBy("doc_id").collect()
-    return fit_topics(np.array([np.frombuffer(r.v, "<f4") for r in rows]).reshape(-1, WIDTH).astype(float))
 
+def train_topics(stored: DataFrame, topics: int = TOPICS) -> np.ndarray:
+    """Topic centres of all rows of a stored table with ``doc_id`` and ``_vector``.
 
-def with_topic_and_tokens(docs: DataFrame, centres: np.ndarray, vocabulary: str) -> DataFrame:
-    """Add ``_topic`` (nearest centre) and ``_tokens`` (ids of the whole text and one end id)."""
-    names = [*docs.columns, "_topic", "_tokens"]
+    The starting points alone are evenly spread over the ``START_KEYS`` keys with the
+    least hash. Every round is one aggregate over the whole table, of which the sums of
+    each centre (``topics`` x ``WIDTH`` whole numbers) come back.
+    """
+    rows = stored.select("_vector")
+    keys = stored.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_KEYS)
+    ordered = [r[0] for r in keys.orderBy("doc_id").collect()]
+    picked = [ordered[i] for i in spread(np.arange(len(ordered)), topics).tolist()]
+    firsts = {k: v for k, v in stored.filter(
+        F.col("doc_id").isin([k for k in picked if k is not None]) | (F.col("doc_id").isNull() & F.lit(None in picked))
+    ).groupBy("doc_id").agg(F.min("_vector")).collect()}
+    starts = np.array([np.frombuffer(firsts[k], "<u2") for k in picked], "<u2").reshape(-1, WIDTH)
+
+    def sums_of(centres: np.ndarray) -> np.ndarray:
+        def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(centres), WIDTH), np.int64)
+            for batch in batches:
+                if batch.num_rows:
+                    sums += centre_sums(_vectors(batch, 0), centres)
+            place = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(sums.reshape(-1)[place])], names=["place", "n"])
+
+        out = np.zeros(len(centres) * WIDTH, np.int64)
+        for r in rows.mapInArrow(add, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+            out[r.place] = r.n
+        return out.reshape(-1, WIDTH)
+
+    return find_centres(starts, sums_of)
+
+
+def with_vectors_and_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """Add ``_vector`` (stored word vector) and ``_tokens`` (ids of the whole text and one end id)."""
+    names = [*docs.columns, "_vector", "_tokens"]
     at = names.index("text")
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = byte_encoder(vocabulary)
         for batch in (part for whole in batches for part in slices(whole, at)):
             texts = as_texts(batch.column(at))
-            topic = np.argmax(word_vectors(texts) @ centres.T, axis=1)
+            vectors = [v.tobytes() for v in stored_vectors(word_vectors(texts))]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(topic, pa.int32()), pa.array(encoder.count(texts) + 1)], names=names,
+                [*batch.columns, pa.array(vectors, pa.binary()), pa.array(encoder.count(texts) + 1)], names=names,
             )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(add, f"{fields}, _topic int, _tokens long")
+    return docs.mapInArrow(add, f"{fields}, _vector binary, _tokens long")
+
+
+def with_topic(stored: DataFrame, centres: np.ndarray) -> DataFrame:
+    """``_topic`` (nearest centre) in place of ``_vector``; only the vector passes through Python."""
+
+    @F.pandas_udf("int")
+    def nearest(vectors: pd.Series) -> pd.Series:
+        own = np.frombuffer(b"".join(vectors), "<u2").reshape(-1, WIDTH)
+        return pd.Series(np.argmax(own @ centres.T, axis=1).astype(np.int32))
+
+    return stored.withColumn("_topic", nearest("_vector")).drop("_vector")
 
 
 def rake(weights: np.ndarray, members: Sequence[np.ndarray], targets: Sequence[np.ndarray]) -> np.ndarray:
     """Factor of every cell, by proportional fitting of each dimension in turn.
 
     ``members[d]`` gives the value of each cell in dimension d; ``targets[d]`` the
-    wanted share of each value. Shares of values without weight are spread over
-    the others. Ends when all shares are met, or after ``ROUNDS`` rounds if the
+    wanted share of each value. Shares of values without weight, or with weight only
+    where another dimension wants none, are spread over the others. Ends when all shares are met, or after ``ROUNDS`` rounds if the
     empty cells leave no exact answer.
     """
     factor = np.ones(len(weights))
     total = weights.sum()
     if not total:
         return factor
+    shut = np.zeros(len(weights), bool)
+    for own, target in zip(members, targets, strict=True):
+        if (target[own[weights > 0]] > 0).any():
+            shut |= target[own] <= 0
+    if (weights[~shut] > 0).any():
+        factor[shut] = 0
     wanted = []
     for own, target in zip(members, targets, strict=True):
-        held = np.bincount(own, weights, len(target)) > 0
+        held = np.bincount(own, weights * factor, len(target)) > 0
         share = np.where(held, np.maximum(target, 0), 0.0)
         wanted.append(total * (share / share.sum() if share.sum() else held / held.sum()))
     for _ in range(ROUNDS):
@@ -278,10 +346,10 @@ def mixture_table(
     counts one token, its end. Repeated rows stay; other columns are not read.
     """
     chosen = docs.select("doc_id", "text", "source", "lang")
-    made = with_topic_and_tokens(chosen, train_topics(chosen), vocabulary).select(
-        "doc_id", "source", "lang", "_topic", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
-    )
-    mixed = mix_probabilities(cut_lineage(made), targets, exact=exact)
+    stored = cut_lineage(with_vectors_and_tokens(chosen, vocabulary).select(
+        "doc_id", "source", "lang", "_vector", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
+    ))
+    mixed = mix_probabilities(cut_lineage(with_topic(stored, train_topics(stored))), targets, exact=exact)
     return mixed.select("doc_id", "source", "lang", *[
         F.col(f"_{c}").alias(c) for c in ("topic", "tokens", "weight", "probability", "kept")
     ])
@@ -320,7 +388,8 @@ def mix_documents(
     held = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "source", "lang",
     )
-    made = with_topic_and_tokens(held, train_topics(held), vocabulary).select(
-        "row", "source", "lang", "_topic", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
-    )
-    return mix_probabilities(cut_lineage(made), targets, exact=exact).filter("_kept").select("row.*")
+    stored = cut_lineage(with_vectors_and_tokens(held, vocabulary).select(
+        "row", "doc_id", "source", "lang", "_vector", "_tokens", F.xxhash64("doc_id", "text").alias("_hash"),
+    ))
+    # rows are stored once; the topic is found again from the vector wherever it is read
+    return mix_probabilities(with_topic(stored, train_topics(stored)), targets, exact=exact).filter("_kept").select("row.*")

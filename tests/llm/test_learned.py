@@ -212,3 +212,20 @@ def test_forest_odd_vectors(spark):
 def test_topics_of_few_rows(n):
     vectors = mixture.word_vectors(as_texts(pa.array(["a b", "c d", ""][:n], pa.string())))
     assert len(mixture.fit_topics(vectors)) == max(1, n)
+
+
+def test_topics_are_fitted_on_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "START_KEYS", 50)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(7)
+    stored = mixture.cut_lineage(mixture.with_vectors_and_tokens(docs, bytebpe.vocabulary_path()))
+    got = mixture.train_topics(stored)
+    vectors = mixture.word_vectors(as_texts(pa.array([r.text for r in docs.select("text").collect()], pa.string())))
+    whole = mixture.stored_vectors(vectors)
+    keys = docs.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(50).orderBy("doc_id")
+    ids = [r.doc_id for r in keys.collect()]
+    by_id = {r.doc_id: r.text for r in docs.filter(F.col("doc_id").isin(ids)).collect()}
+    pool = mixture.stored_vectors(mixture.word_vectors(as_texts(pa.array([by_id[i] for i in ids], pa.string()))))
+    plain = mixture.find_centres(mixture.spread(pool, 8), lambda c: mixture.centre_sums(whole, c))
+    assert np.allclose(got, plain, atol=1e-9)
+    # centres of the pool alone are others
+    assert not np.allclose(got, mixture.find_centres(mixture.spread(pool, 8), lambda c: mixture.centre_sums(pool, c)), atol=1e-3)
