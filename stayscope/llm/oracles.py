@@ -106,7 +106,32 @@ SELECT page_id, host, path, {rule} AS rule,
 FROM named LEFT JOIN h3 USING (host)"""
 
 
+def _infill() -> str:
+    return r"""WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS x,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS y, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS z
+  FROM cut),
+parts AS (
+  SELECT doc_id, t, n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+      WHEN z < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m,
+    array_to_string(u[greatest(x, y) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts"""
+
+
 ORACLES: dict[str, str] = {
     "op9_quality_rules": _quality(),
     "op10_host_reputation": _hosts(),
+    "op13_secondary_sort_infill": _infill(),
 }

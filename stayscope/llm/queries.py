@@ -11,6 +11,7 @@ from stayscope.llm.forest import nearest
 from stayscope.llm.hilbert import shard_documents
 from stayscope.llm.hosts import judge_urls
 from stayscope.llm.idfiles import id_file_round
+from stayscope.llm.infill import infill_table
 from stayscope.llm.mixture import mixture_table
 from stayscope.llm.oracles import ORACLES
 from stayscope.llm.pieces import encode_pieces
@@ -71,6 +72,11 @@ def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def infilled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's output and of the text rebuilt from it."""
+    return infill_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity_instances": toxicity_scores,
     "op2_prefix_forest": forest_neighbours,
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_ranked_id_files": ranked_id_files,
     "op9_quality_rules": quality_rules,
     "op10_host_reputation": page_verdicts,
+    "op13_secondary_sort_infill": infilled_texts,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
