@@ -130,8 +130,51 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
 FROM parts"""
 
 
+def _trie() -> str:
+    return r"""WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc_step AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s FROM turns GROUP BY conv_id),
+table_of AS (
+  SELECT list(v ORDER BY k) AS t FROM (
+    SELECT k, list_reduce([CAST(k AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v
+    FROM range(256) r(k))),
+convs AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(s, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: xor(a // 256, t[CAST(xor(a % 256, b) AS BIGINT) + 1])), 4294967295) % 4 AS h
+  FROM crc_step, table_of),
+opening AS (
+  SELECT c.conv_id, t.i AS k, 0 AS part, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.i <= c.h),
+own AS (
+  SELECT c.conv_id, t.i AS k, 1 AS part, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS d, md5(length(role) || ':' || role || text) AS code,
+    CAST(len([w for w in regexp_split_to_array(text, '[\x20\x09-\x0D]+') if w <> '']) AS BIGINT) AS words
+  FROM (SELECT * FROM opening UNION ALL SELECT * FROM own)),
+prefixes AS (
+  SELECT conv_id, d, words, list(code) OVER (PARTITION BY conv_id ORDER BY d) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, CAST([] AS VARCHAR[]) FROM convs),
+sized AS (SELECT *, max(d) OVER (PARTITION BY conv_id) = d AS ends FROM prefixes),
+nodes AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM sized GROUP BY path, d),
+families AS (
+  SELECT p.path, count(c.path) AS n_children, any_value(p.conv_id) AS conv_id
+  FROM nodes p LEFT JOIN nodes c ON c.depth = p.depth + 1 AND c.path[1:p.depth] = p.path AND c.depth > 0 GROUP BY p.path),
+described AS (SELECT n.*, f.n_children FROM nodes n JOIN families f USING (path)),
+above AS (SELECT path[1:k] AS path, n_children = 0 AS leaf, (n_convs - 1) * words AS saving FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM described)),
+sums AS (SELECT path, CAST(count_if(leaf) AS BIGINT) AS n_leaves, CAST(sum(saving) AS BIGINT) AS saved_tokens FROM above GROUP BY path)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM described n JOIN sums s USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]"""
+
+
 ORACLES: dict[str, str] = {
     "op9_quality_rules": _quality(),
     "op10_host_reputation": _hosts(),
+    "op12_parenthesis_trie": _trie(),
     "op13_secondary_sort_infill": _infill(),
 }

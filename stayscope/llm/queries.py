@@ -15,6 +15,7 @@ from stayscope.llm.infill import infill_table
 from stayscope.llm.mixture import mixture_table
 from stayscope.llm.oracles import ORACLES
 from stayscope.llm.pieces import encode_pieces
+from stayscope.llm.prefixtrie import prefix_trie
 from stayscope.llm.probminhash import near_duplicate_classes
 from stayscope.llm.quality import quality_table
 from stayscope.llm.toxicity import toxicity_table
@@ -72,6 +73,11 @@ def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def infilled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's output and of the text rebuilt from it."""
     return infill_table(table(spark, sf_dir, "documents"))
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_ranked_id_files": ranked_id_files,
     "op9_quality_rules": quality_rules,
     "op10_host_reputation": page_verdicts,
+    "op12_parenthesis_trie": conversation_trie,
     "op13_secondary_sort_infill": infilled_texts,
 }
 
