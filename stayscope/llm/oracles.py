@@ -172,9 +172,31 @@ SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM described n JOIN sums s USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]"""
 
 
+def _repeats() -> str:
+    return """WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS b FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(substr(b, 2 * s + 1, 200)) AS w
+  FROM (SELECT doc_id, b, unnest(range(0, greatest(length(b) // 2 - 99, 0))) AS s FROM docs)),
+numbered AS (SELECT doc_id, s, row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS FIRST, s) AS n FROM windows),
+fresh AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100 THEN 0 ELSE 1 END AS f
+  FROM numbered WHERE n > 1),
+runs AS (SELECT doc_id, s, sum(f) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM fresh),
+spans AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS z FROM runs GROUP BY doc_id, run),
+counted AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last FROM spans GROUP BY doc_id),
+before AS (SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans),
+joined AS (
+  SELECT doc_id, string_agg(substr(b, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS start
+  FROM before JOIN docs USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(length(b) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(start, '') || substr(b, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN joined USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
     "op9_quality_rules": _quality(),
     "op10_host_reputation": _hosts(),
+    "op11_merged_bwt_repeats": _repeats(),
     "op12_parenthesis_trie": _trie(),
     "op13_secondary_sort_infill": _infill(),
 }

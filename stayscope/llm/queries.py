@@ -18,6 +18,7 @@ from stayscope.llm.pieces import encode_pieces
 from stayscope.llm.prefixtrie import prefix_trie
 from stayscope.llm.probminhash import near_duplicate_classes
 from stayscope.llm.quality import quality_table
+from stayscope.llm.repeats import without_repeats
 from stayscope.llm.toxicity import toxicity_table
 
 
@@ -73,6 +74,11 @@ def page_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes)
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what is left of every document without its repeated passages."""
+    return without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all rebuilt conversations."""
     return prefix_trie(table(spark, sf_dir, "conversations"))
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_ranked_id_files": ranked_id_files,
     "op9_quality_rules": quality_rules,
     "op10_host_reputation": page_verdicts,
+    "op11_merged_bwt_repeats": repeated_passages,
     "op12_parenthesis_trie": conversation_trie,
     "op13_secondary_sort_infill": infilled_texts,
 }
