@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayscope.llm.prefixtrie import spread_join
 from stayscope.llm.probminhash import mixed
+from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import as_texts, slices
 from stayscope.session import cut_lineage
 
@@ -139,7 +139,8 @@ AGAIN, CONTESTED, BORDER = 0, 1, 2
 
 def _decided(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted contexts: those seen before (``AGAIN``), the first of each where an anchor has
-    several (``CONTESTED``). The first and last anchor of a batch may go on elsewhere (``BORDER``)."""
+    several (``CONTESTED``). The first and last anchor of a batch may go on elsewhere: of each of their
+    contexts the first is left open (``BORDER``), and those behind it were seen before in any case."""
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -162,7 +163,7 @@ def _decided(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = np.full(n, -1, np.int32)
         kind[~same] = AGAIN
         kind[first & several[group]] = CONTESTED
-        kind[border] = BORDER
+        kind[border & first] = BORDER
         kept = np.flatnonzero(kind >= 0)
         rows = batch.take(pa.array(kept))
         yield pa.RecordBatch.from_arrays([pa.array(kind[kept]), *rows.columns], names=["kind", *rows.schema.names])
