@@ -37,6 +37,12 @@ def no_nan(value: Column, sql_type: str = "double") -> Column:
     return F.nullif(value, F.lit(float("nan")).cast(sql_type))
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN in a floating column."""
+    value = F.col(f"`{column}`")
+    return value.isNull() | F.isnan(value) if dict(df.dtypes)[column] in ("float", "double") else value.isNull()
+
+
 def yes_no_to_bit(target: Column) -> Column:
     """Yes → 1, No → 0; anything else, null included, raises."""
     return (

@@ -59,6 +59,15 @@ def at_least(column: str, low: float) -> Rule:
     return Rule("minimum", column, lambda: F.col(column) >= low)
 
 
+def fitted_ranges(bounds: DataFrame) -> list[Rule]:
+    """Outlier rules from a stored table (column, low, high) of a few rows; empty bounds impose nothing."""
+    rows = bounds.select("column", "low", "high").orderBy("column").collect()
+    return [
+        Rule("outlier", r["column"], lambda r=r: F.col(r["column"]).between(r["low"], r["high"]))
+        for r in rows if r["low"] is not None
+    ]
+
+
 def not_null(column: str) -> Rule:
     return Rule("not_null", column, lambda: F.col(column).isNotNull())
 

@@ -20,14 +20,18 @@ from stayscope.operators.ordering import exact_percentiles, match_keys, running_
 SWEEP_METRICS = ("precision", "recall", "f1", "accuracy", "positive_rate")
 
 
-def curve(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct probabilities, highest first: tp, n, running and total sums.
+def present(p: Column) -> Column:
+    """The probability; a missing or NaN one raises, since metrics over part of the rows would mislead."""
+    return F.when(p.isNull() | F.isnan(p.cast("double")), F.raise_error("a score is null or NaN")).otherwise(p)
 
-    A missing or NaN probability raises: metrics over part of the rows would mislead.
-    """
-    missing = F.raise_error("a score is null or NaN")
-    p = F.when(F.col("p").isNull() | F.isnan("p"), missing).otherwise(F.col("p"))
-    distinct = scores.withColumn("p", p).groupBy(*keys, "p").agg(
+
+def checked(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("p", present(F.col("p")))
+
+
+def curve(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Distinct probabilities, highest first: tp, n, running and total sums."""
+    distinct = checked(scores).groupBy(*keys, "p").agg(
         F.sum(F.col("y").cast("long")).alias("tp"), F.count("*").alias("n")
     )
     return running_sums(distinct, "p", ["tp", "n"], keys, descending=True)
@@ -54,13 +58,18 @@ def lift(fraction: float = fixed.TOP_FRACTION) -> Column:
     inside a group of equal scores, the group counts by its own positive rate:
     the mean over all orders of the tied rows, so no arbitrary order leaks in.
     """
+    size, hits = top_hits(fraction)
+    base = F.sum("tp") / F.sum("n")
+    return F.when(base <= 0, F.lit(0.0)).otherwise(_ratio(hits / size, base))
+
+
+def top_hits(fraction: float) -> tuple[Column, Column]:
+    """Rows of the top fraction and the positives among them (see :func:`lift`)."""
     size = F.greatest(F.bround(F.col("tot_n") * fraction, 0), F.lit(1.0))
     taken = F.greatest(
         F.lit(0.0), F.least(size - (F.col("cum_n") - F.col("n")), F.col("n").cast("double"))
     )
-    hits = F.sum(F.col("tp") * taken / F.col("n"))
-    base = F.sum("tp") / F.sum("n")
-    return F.when(base <= 0, F.lit(0.0)).otherwise(_ratio(hits / F.max(size), base))
+    return F.max(size), F.sum(F.col("tp") * taken / F.col("n"))
 
 
 def binary_metrics(
@@ -125,7 +134,7 @@ def threshold_sweep(
     """
     grid = sorted({float(t) for t in thresholds})
     by = list(keys)
-    bins = scores.groupBy(*by, _grid_bin(F.col("p"), grid).alias("bin")).agg(
+    bins = checked(scores).groupBy(*by, _grid_bin(F.col("p"), grid).alias("bin")).agg(
         F.count("*").alias("n"), F.sum(F.col("y").cast("long")).alias("tp")
     )
     # At most len(thresholds) + 1 bins per key; the sums at a threshold run over that list.
@@ -194,7 +203,7 @@ def confusion(
     """All four (y, predicted) cells, zeros included."""
     hit, pos = F.col("p") >= threshold, F.col("y") == 1
     cells = [(0, 0, ~pos & ~hit), (0, 1, ~pos & hit), (1, 0, pos & ~hit), (1, 1, pos & hit)]
-    counted = scores.groupBy(*keys).agg(
+    counted = checked(scores).groupBy(*keys).agg(
         *[F.count_if(c).alias(f"n{a}{b}") for a, b, c in cells]
     )
     return counted.select(
@@ -217,6 +226,7 @@ def calibration(
     scores: DataFrame, n_bins: int = 10, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Observed rate against mean probability in quantile bins; empty bins absent."""
+    scores = checked(scores)
     inner = [i / n_bins for i in range(1, n_bins)]
     edges = exact_percentiles(scores, ["p"], inner, keys).select(*keys, "q")
     if keys:

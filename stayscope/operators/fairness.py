@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from stayscope.functions import fixed
 from stayscope.functions.columns import ratio as _ratio
 from stayscope.functions.columns import require_columns, uniform_bin
+from stayscope.operators.evaluate import checked
 
 GROUP_METRICS = ("selection_rate", "tpr", "fpr", "precision")
 
 
 def _bin_sums(scores: DataFrame, by: Sequence[str], threshold: float, n_bins: int) -> DataFrame:
-    """Additive counts per (by, probability bin); everything else follows from them."""
+    """Additive counts per (by, probability bin); everything else follows from them. Missing scores raise."""
+    scores = checked(scores)
     hit, pos = (F.col("p") >= threshold).cast("long"), F.col("y").cast("long")
     return scores.groupBy(*by, uniform_bin(F.col("p"), n_bins).alias("bin")).agg(
         F.count("*").alias("n"),

@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stayscope.functions.columns import no_nan
+from stayscope.session import cut_lineage
 
 _ALL = "_all"
 _RANGE = "_range"
@@ -143,28 +144,24 @@ def exact_percentiles(
     probabilities = [float(p) for p in probabilities]
     wide = df.select(
         *[f"`{k}`" for k in keys],
-        *[no_nan(F.col(f"`{c}`").cast("double")).alias(f"_c{i}") for i, c in enumerate(columns)],
+        F.inline(F.array(*[
+            F.struct(F.lit(c).alias("variable"), no_nan(F.col(f"`{c}`").cast("double")).alias("value")) for c in columns
+        ])),
     )
-    names = [f"_c{i}" for i in range(len(columns))]
-    bounds = range_bounds(wide, names, ranges)
-    ranged = with_ranges(wide, names, [f"_r{i}" for i in range(len(columns))], bounds)
-    long = ranged.select(
-        *[f"`{k}`" for k in keys],
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("variable"),
-                        F.col(f"_c{i}").alias("value"),
-                        F.col(f"_r{i}").alias(_RANGE),
-                    )
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ),
-    ).filter(F.col("value").isNotNull())
     by = [*keys, "variable"]
-    counts = long.groupBy(*by, _RANGE, "value").agg(F.count("*").alias("_copies"))
+    # the input is read once: all that follows reads the counts per value
+    counted = cut_lineage(wide.groupBy(*by, "value").agg(F.count("*").alias("_copies")))
+    held = counted.filter(F.col("value").isNotNull())
+    names = [f"_c{i}" for i in range(len(columns))]
+    apart = held.select(*[F.when(F.col("variable") == c, F.col("value")).alias(n) for c, n in zip(columns, names, strict=True)])
+    bounds = range_bounds(apart, names, ranges)
+    edges = dict(zip(columns, bounds, strict=True))
+    place = F.lit(None).cast("double")
+    ranged = held.withColumns({n: F.when(F.col("variable") == c, F.col("value")) for c, n in zip(columns, names, strict=True)})
+    ranged = with_ranges(ranged, names, [f"_r{i}" for i in range(len(columns))], [edges[c] for c in columns])
+    for i, c in enumerate(columns):
+        place = F.when(F.col("variable") == c, F.col(f"_r{i}")).otherwise(place)
+    counts = ranged.select(*by, place.alias(_RANGE), "value", "_copies")
     starts = _range_starts(
         counts.withColumnRenamed("_copies", "n"), by, ["n"], F.col(_RANGE).asc(), with_size=True
     )
@@ -206,13 +203,9 @@ def exact_percentiles(
 
     found = picked.select(*by, F.array(*[between(i) for i in range(len(probabilities))]).alias("q"))
     none = F.array(*[F.lit(None).cast("double") for _ in probabilities])
-    sizes = wide.groupBy(*[f"`{k}`" for k in keys]).agg(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("variable"), F.count(f"_c{i}").alias("n"))
-                for i, c in enumerate(columns)
-            ]
-        ).alias("_sizes")
-    )
-    every = sizes.select(*[f"`{k}`" for k in keys], F.inline("_sizes"))
+    valued = F.when(F.col("value").isNotNull(), F.col("_copies")).otherwise(0)
+    every = counted.groupBy(*by).agg(F.sum(valued).alias("n"))
+    if not keys:  # columns of an empty table have a row too
+        named = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("variable"))
+        every = named.join(every, "variable", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return match_keys(every, found, by, "left").select(*by, "n", F.coalesce("q", none).alias("q"))

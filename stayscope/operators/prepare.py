@@ -100,3 +100,9 @@ def keep_features(df: DataFrame, features: Sequence[str], others: Sequence[str])
     """Restrict a matrix to a feature subset; unknown names raise."""
     C.require_columns(df, [*features, *others])
     return df.select(*[f"`{c}`" for c in [*others, *features]])
+
+
+def with_missing_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``was_<column>_missing`` (0/1), to be set before values are imputed."""
+    C.require_columns(df, list(columns))
+    return df.withColumns({f"was_{c}_missing": C.is_missing(df, c).cast("tinyint") for c in columns})

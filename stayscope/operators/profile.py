@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayscope.functions import fixed
-from stayscope.functions.columns import label_column, lenient_number, no_nan
+from stayscope.functions.columns import is_missing, label_column, lenient_number, no_nan
 from stayscope.functions.columns import ratio as _ratio
 from stayscope.operators.ordering import exact_percentiles, match_keys
 
@@ -24,12 +25,6 @@ def text_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t == "string"]
 
 
-def _is_missing(df: DataFrame, column: str) -> Column:
-    kind = dict(df.dtypes)[column]
-    value = F.col(f"`{column}`")
-    return value.isNull() | F.isnan(value) if kind in ("float", "double") else value.isNull()
-
-
 def _row_digest(df: DataFrame) -> Column:
     """256-bit digest of a row; each value carries its length, so it is unambiguous."""
     parts = []
@@ -42,17 +37,45 @@ def _row_digest(df: DataFrame) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
+#: 16-bit lanes of a table digest, the lowest last; the sum of a lane stays exact for 2**47 rows.
+LANES = 8
+
+
+def table_digest(df: DataFrame) -> DataFrame:
+    """One row: ``n_rows`` and ``digest``, the sum of the row digests modulo 2**128 in hexadecimal.
+
+    Rows are a multiset: neither their order nor their partitions matter, copies count,
+    and digests of parts can be added. Columns count in their order, not by name. An empty table has digest zero.
+    """
+    code = F.hex("_row")
+    lanes = [F.conv(F.substring(code, 4 * k + 1, 4), 16, 10).cast("long").alias(f"l{k}") for k in range(LANES)]
+    summed = df.select(_row_digest(df).alias("_row")).select(*lanes).agg(
+        F.count("*").alias("n_rows"), *[F.coalesce(F.sum(f"l{k}"), F.lit(0)).alias(f"l{k}") for k in range(LANES)]
+    )
+    carry = F.lit(0).cast("long")
+    digits = []
+    for k in range(LANES - 1, -1, -1):
+        total = F.col(f"l{k}") + carry
+        digits.insert(0, F.lpad(F.lower(F.hex(F.pmod(total, F.lit(1 << 16)))), 4, "0"))
+        carry = F.shiftright(total, 16)
+    return summed.select("n_rows", F.concat(*digits).alias("digest"))
+
+
 def dataset_summary(
     df: DataFrame, target: str = fixed.TARGET, positive: str = "Yes", total: str = "TotalCharges"
 ) -> DataFrame:
-    """One row: rows, columns, positive rate (4 decimals), missing totals."""
+    """One row: rows, columns, positive rate (4 decimals), missing totals, digest of the data and
+    size of its text (bytes of all values written as text)."""
     hit = F.coalesce(F.col(target) == positive, F.lit(False))
-    return df.agg(
+    size = reduce(lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)).cast("long") for c in df.columns])
+    counted = df.agg(
         F.count("*").alias("n_rows"),
         F.lit(len(df.columns)).cast("long").alias("n_cols"),
         F.round(F.avg(hit.cast("int")), 4).alias("target_pos_rate"),
-        F.count_if(_is_missing(df, total)).alias("n_missing_total"),
+        F.count_if(is_missing(df, total)).alias("n_missing_total"),
+        F.coalesce(F.sum(size), F.lit(0)).alias("n_bytes"),
     )
+    return counted.crossJoin(table_digest(df).select("digest"))  # one row each
 
 
 def quality_report(df: DataFrame, target: str = fixed.TARGET, positive: str = "Yes") -> DataFrame:
@@ -92,7 +115,7 @@ def column_quality(df: DataFrame) -> DataFrame:
     """
     cells = []
     for i, (c, kind) in enumerate(df.dtypes):
-        missing = _is_missing(df, c)
+        missing = is_missing(df, c)
         value = F.when(~missing, F.col(f"`{c}`"))
         n_missing = F.count_if(missing)
         constant = (n_missing == F.count("*")) | (

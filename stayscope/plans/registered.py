@@ -284,7 +284,7 @@ def repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
 # --- profiling --------------------------------------------------------------
 @register
 def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.dataset_summary(typed_accounts(spark, folder))
+    return profile.dataset_summary(typed_accounts(spark, folder)).drop("n_bytes", "digest")
 
 
 @register

@@ -43,9 +43,10 @@ def encode_accounts(
     All splits stay one frame: the encoding is one projection and the split a
     column, so nothing is scanned once per split.
     """
-    wide = derive_features(typed) if include_derived else typed
+    wide = cut_lineage(derive_features(typed) if include_derived else typed)  # read by the class counts, the cuts and the split
     wide = stratified_split(wide, fixed.KEY, fixed.TARGET, test_size, val_size, seed)
     wide = wide.withColumn(fixed.TARGET, yes_no_to_bit(F.col(fixed.TARGET)))
+    wide = cut_lineage(wide)  # read by the fit of the encoder and by the encoding
     spec = account_spec(include_derived)
     encoder = fit_encoder(wide.filter(F.col("split") == "train"), spec)
     matrix = encoder.encode(wide, [fixed.KEY, fixed.TARGET, "split"])

@@ -72,5 +72,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, "stored")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def release(stored: DataFrame) -> None:
+    """Remove the table behind a result of :func:`cut_lineage` that nothing will read again.
+
+    To be called once all that was made from it is itself stored.
+    """
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
