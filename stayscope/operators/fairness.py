@@ -11,6 +11,7 @@ from stayscope.functions import fixed
 from stayscope.functions.columns import ratio as _ratio
 from stayscope.functions.columns import require_columns, uniform_bin
 from stayscope.operators.evaluate import checked
+from stayscope.session import cut_lineage
 
 GROUP_METRICS = ("selection_rate", "tpr", "fpr", "precision")
 
@@ -125,6 +126,8 @@ def fairness_summary(groups: DataFrame) -> DataFrame:
         groups.groupBy("attribute")
         .agg(
             F.count("*").alias("n_groups"),
+            F.min("n").alias("n_smallest"),
+            F.max("n").alias("n_largest"),
             _ratio(F.min("selection_rate"), F.max("selection_rate")).alias("disparate_impact"),
             gap("selection_rate").alias("demographic_parity_diff"),
             F.greatest(gap("tpr"), gap("fpr")).alias("equalized_odds_diff"),
@@ -162,8 +165,8 @@ def attach_sensitive(
     """Join sensitive columns to scored rows by key; any mismatch raises.
 
     Every scored row must find one account, and if ``label`` (an expression
-    over ``accounts``) is given, the labels must agree. The check is one join
-    whose bad rows are counted; the good path reuses the same join.
+    over ``accounts``) is given, the labels must agree. The join is run once and stored;
+    the check and the result read it.
     """
     require_columns(accounts, [key, *attributes])
     right = accounts.select(
@@ -172,7 +175,7 @@ def attach_sensitive(
         (label if label is not None else F.lit(None)).cast("int").alias("_label"),
         F.lit(True).alias("_found"),
     )
-    joined = scores.drop(*attributes).join(right, scores[key] == F.col("_key"), "left")
+    joined = cut_lineage(scores.drop(*attributes).join(right, scores[key] == F.col("_key"), "left"))
     unmatched = F.col("_found").isNull()
     wrong = F.coalesce(F.col("_label") != F.col("y"), F.lit(False))
     counts = joined.agg(

@@ -8,6 +8,7 @@ an argument; boosting grows level by level.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -15,6 +16,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
+    LogisticRegressionModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -29,13 +31,16 @@ from stayscope.operators.split import class_counts, fold_cuts
 
 Factory = Callable[..., object]
 
+#: Published bound of the logistic fits; reaching it is told.
+MAX_ITERATIONS = 2_000
+
 
 def _logistic(seed: int, rows: int, mix: float, c: float) -> LogisticRegression:
     return LogisticRegression(
         regParam=1.0 / (c * rows),
         elasticNetParam=mix,
         standardization=False,
-        maxIter=200,
+        maxIter=MAX_ITERATIONS,
         weightCol="weight",
     )
 
@@ -147,7 +152,11 @@ def fit(
         balanced_weight(label, counts).alias("weight"),
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, estimator]).fit(training)
+    fitted = Pipeline(stages=[assembler, estimator]).fit(training)
+    last = fitted.stages[-1]
+    if isinstance(last, LogisticRegressionModel) and last.hasSummary and last.summary.totalIterations >= MAX_ITERATIONS:
+        warnings.warn(f"{name} did not converge in {MAX_ITERATIONS} iterations", stacklevel=2)
+    return fitted
 
 
 def positive_probability(scored: DataFrame) -> Column:

@@ -5,7 +5,6 @@ Scores are long tables (method, feature, score) so that several methods union.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -125,6 +124,28 @@ def l1_importance(
     )
 
 
+#: Hexadecimal digits of the hash order by which rows are put into ranges: 65,536 of them.
+RANGE_DIGITS = 4
+
+
+def with_donors(rows: DataFrame, seed: int) -> DataFrame:
+    """Add ``donor``: ``own`` of the next row in the hash order of ``key`` over all rows, the last
+    taking the first's.
+
+    Rows are ordered inside ranges of the hash; the last row of a range takes the first of the
+    next range that has rows, from a table of one row per range.
+    """
+    marked = rows.withColumn("mark", order_hash(seed, F.col("key")))
+    ranged = marked.withColumn("range", F.substring("mark", 1, RANGE_DIGITS))
+    firsts = ranged.groupBy("range").agg(F.min(F.struct("mark", "key", "own"))["own"].alias("first"))
+    line = W.orderBy("range")
+    after = F.coalesce(F.lead("first").over(line), F.first("first").over(line.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    following = firsts.select("range", after.alias("after"))
+    inside = W.partitionBy("range").orderBy("mark", "key")
+    inner = ranged.withColumn("donor", F.lead("own").over(inside))
+    return inner.join(following, "range").withColumn("donor", F.coalesce("donor", "after")).drop("mark", "range", "after")
+
+
 def permutation_importance(
     matrix: DataFrame,
     features: Sequence[str],
@@ -134,14 +155,13 @@ def permutation_importance(
     repeats: int = 10,
     max_depth: int = 12,
     seed: int = 42,
-    block_rows: int = 100_000,
 ) -> DataFrame:
     """Mean drop of average precision when one feature is permuted.
 
     Per repeat every row takes the feature values of another row: the next one
-    in a hash order inside hash-made blocks, the last taking the first. That is
+    in a hash order of all rows, the last taking the first. That is
     one shuffle per repeat for all features together, and each feature keeps
-    its exact multiset of values. Blocks are of even size by construction.
+    its exact multiset of values.
     """
     fitted = models.fit(
         "random_forest", matrix, features, target, seed=seed, trees=trees, max_depth=max_depth,
@@ -154,25 +174,10 @@ def permutation_importance(
     )
     base = models.score(fitted, rows.select("key", "y", array_to_vector("own").alias("features")))
     base_ap = curve(base).agg(average_precision().alias("ap")).first()["ap"]
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-
-    donors = []
-    for r in range(repeats):
-        mark = order_hash(seed + 1 + r, F.col("key"))
-        ordered = rows.withColumn("mark", mark).withColumn(
-            "block", F.pmod(F.xxhash64("mark"), F.lit(blocks))
-        )
-        inside = W.partitionBy("block").orderBy("mark", "key")
-        whole = inside.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        donors.append(
-            ordered.select(
-                F.lit(r).alias("repeat"),
-                "y",
-                "own",
-                F.coalesce(F.lead("own").over(inside), F.first("own").over(whole)).alias("donor"),
-            )
-        )
-    both = reduce(DataFrame.unionByName, donors)
+    both = reduce(
+        DataFrame.unionByName,
+        [with_donors(rows, seed + 1 + r).select(F.lit(r).alias("repeat"), "y", "own", "donor") for r in range(repeats)],
+    )
     names = F.array(*[F.lit(f) for f in features])
     swapped = F.concat(
         F.expr("slice(own, 1, at)"),

@@ -376,7 +376,10 @@ _BROKEN = {
     "TechSupport": "CASE WHEN slot % 6 = 0 THEN 'No internet service' ELSE \"TechSupport\" END",
     "Partner": "CASE WHEN slot % 13 = 0 THEN NULL ELSE \"Partner\" END",
     "customerID": "CASE WHEN slot % 17 = 0 THEN 'bad' ELSE \"customerID\" END",
+    "SeniorCitizen": 'CASE WHEN slot % 23 = 0 THEN 2 ELSE "SeniorCitizen" END',
+    "StreamingTV": "CASE WHEN slot % 29 = 0 THEN 'Maybe' ELSE \"StreamingTV\" END",
     "MonthlyCharges": 'CASE WHEN slot % 19 = 0 THEN -"MonthlyCharges" - 1 ELSE "MonthlyCharges" END',
+    "TotalCharges": 'CASE WHEN slot % 31 = 0 THEN -"TotalCharges" - 1 ELSE "TotalCharges" END',
 }
 _broken_columns = ", ".join(
     f'{_BROKEN[c]} AS "{c}"' if c in _BROKEN else f'"{c}"' for c in fixed.RAW_COLUMNS
@@ -557,7 +560,7 @@ _GROUP_OUT = (
         for c in ("prevalence", "selection_rate", "tpr", "fpr", "precision", "ece")
     )
 )
-_SUMMARY = """SELECT attribute, count(*) AS n_groups,
+_SUMMARY = """SELECT attribute, count(*) AS n_groups, min(n) AS n_smallest, max(n) AS n_largest,
   CASE WHEN max(selection_rate) > 0 THEN min(selection_rate) / max(selection_rate) END AS di,
   max(selection_rate) - min(selection_rate) AS dpd,
   greatest(max(tpr) - min(tpr), max(fpr) - min(fpr)) AS eod, max(ece) AS me
@@ -960,7 +963,7 @@ def _build() -> dict[str, str]:
     three = ["region", "c_mktsegment", "has_urgent"]
     q["group_metrics"] = f"WITH {TIED}, {_groups(three)} SELECT {_GROUP_OUT} FROM gm"
     q["fairness_summary"] = f"""WITH {TIED}, {_groups(three)}, fs AS ({_SUMMARY})
-      SELECT attribute, n_groups, {r("di")} AS disparate_impact,
+      SELECT attribute, n_groups, {i("n_smallest")} AS n_smallest, {i("n_largest")} AS n_largest, {r("di")} AS disparate_impact,
         {r("dpd")} AS demographic_parity_diff, {r("eod")} AS equalized_odds_diff,
         {r("me")} AS max_ece, coalesce(di >= 0.8, false) AS disparate_impact_ok,
         dpd < 0.1 AS demographic_parity_ok, coalesce(eod < 0.1, false) AS equalized_odds_ok,
@@ -1005,8 +1008,12 @@ def _build() -> dict[str, str]:
     q["streamed_predictions"] = (
         f"WITH {SPLIT}, {fit}, {_BREAK}, good AS (SELECT * FROM brk WHERE {_GOOD}), "
         f"{_derive('good', 'gd')}, "
-        f'enc AS (SELECT "customerID" AS kid, {columns} FROM gd, med, mom) '
-        f'SELECT kid AS "customerID", {r(f"1 / (1 + exp(-({_LINEAR_SQL})))", 3)} AS probability FROM enc'
+        f'enc AS (SELECT "customerID" AS kid, {columns} FROM gd, med, mom), '
+        f"sc AS (SELECT kid, 1 / (1 + exp(-({_LINEAR_SQL}))) AS p FROM enc) "
+        f'SELECT kid AS "customerID", {r("p", 3)} AS probability, '
+        f"{i('CASE WHEN p >= 0.4 THEN 1 ELSE 0 END')} AS prediction, "
+        "CASE WHEN p >= 0.4 THEN 'churn' ELSE 'no_churn' END AS label, "
+        "CASE WHEN p >= 0.4 THEN 'high' WHEN p >= 0.2 THEN 'medium' ELSE 'low' END AS risk_band FROM sc"
     )
     q["streamed_quarantine"] = f'SELECT rule, "column", n FROM ({q["scoring_quarantine"]}) s'
     return q

@@ -30,7 +30,7 @@ from stayscope.operators import (
 )
 from stayscope.plans import explore, training
 from stayscope.plans.snapshot import customer_snapshot, read_table, subscriber_rows
-from stayscope.session import fresh_path
+from stayscope.session import cut_lineage, fresh_path
 from stayscope.sources import checksums, registry, tables
 from stayscope.streaming import scoring as streaming
 
@@ -104,6 +104,13 @@ def broken_accounts(spark: SparkSession, folder: str) -> DataFrame:
                 ),
                 "Partner": F.when(F.col("_s") % 13 == 0, F.lit(None)).otherwise(F.col("Partner")),
                 "customerID": F.when(F.col("_s") % 17 == 0, "bad").otherwise(F.col("customerID")),
+                "SeniorCitizen": F.when(F.col("_s") % 23 == 0, F.lit(2)).otherwise(F.col("SeniorCitizen")).cast(
+                    "tinyint"
+                ),
+                "StreamingTV": F.when(F.col("_s") % 29 == 0, "Maybe").otherwise(F.col("StreamingTV")),
+                "TotalCharges": F.when(F.col("_s") % 31 == 0, -F.col("TotalCharges") - 1)
+                .otherwise(F.col("TotalCharges"))
+                .cast("float"),
                 "MonthlyCharges": F.when(F.col("_s") % 19 == 0, -F.col("MonthlyCharges") - 1)
                 .otherwise(F.col("MonthlyCharges"))
                 .cast("float"),
@@ -650,14 +657,10 @@ def cross_validation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted_scores(spark: SparkSession, folder: str, name: str, **options) -> DataFrame:
-    matrix = snapshot_matrix(spark, folder)
-    features = SNAPSHOT_FEATURES[:5]
-    spec = encode.EncoderSpec(tuple(features))
-    scaled = encode.fit_encoder(matrix, spec).encode(matrix, ["c_custkey", "churned"]).persist()
-    try:
-        model = models.fit(name, scaled, features, "churned", key="c_custkey", **options)
-    finally:
-        scaled.unpersist()
+    matrix = cut_lineage(snapshot_matrix(spark, folder))
+    spec = encode.EncoderSpec(tuple(SNAPSHOT_FEATURES))
+    scaled = cut_lineage(encode.fit_encoder(matrix, spec).encode(matrix, ["c_custkey", "churned"]))
+    model = models.fit(name, scaled, SNAPSHOT_FEATURES, "churned", key="c_custkey", **options)
     return tidy(models.score(model, scaled, ["c_custkey"]))
 
 
@@ -905,7 +908,7 @@ def streamed_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Accounts landed as files, scored by a stream with quarantine, read back."""
     return tidy(
         spark.read.parquet(f"{_stream(spark, folder)}/predictions").select(
-            "customerID", F.round("probability", 3).alias("probability")
+            "customerID", F.round("probability", 3).alias("probability"), "prediction", "label", "risk_band"
         )
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stayscope.functions import fixed
 from stayscope.functions.columns import label_column, require_columns, yes_no_to_bit
-from stayscope.operators import evaluate, fairness, models
+from stayscope.operators import evaluate, fairness, models, profile
 from stayscope.operators.contract import assert_valid, training_contract
 from stayscope.operators.encode import Encoder, account_spec, fit_encoder
 from stayscope.operators.prepare import cast_accounts, derive_features
@@ -74,7 +74,9 @@ def preprocess(
     spark = raw.sparkSession
     tables.write_splits(prepared.matrix, f"{folder}/matrix")
     matrix = tables.read_matrix(spark, f"{folder}/matrix")
-    manifest = tables.split_manifest(matrix, fixed.TARGET, prepared.features, seed)
+    manifest = tables.split_manifest(
+        matrix, fixed.TARGET, prepared.features, seed, include_derived=include_derived, inputs=typed.columns
+    )
     tables.write_json_record(spark, manifest, f"{folder}/manifest")
     return Prepared(matrix, prepared.encoder, prepared.features, seed)
 
@@ -184,9 +186,13 @@ def train_models(
     summary = spark.createDataFrame(rows, summary.schema)
     best = rows[0]["model"]
     if registry_folder is not None:
+        digests = {
+            part: profile.table_digest(matrix.filter(F.col("split") == part).select(key, target, *[f"`{f}`" for f in used])).first().asDict()
+            for part in ("train", "val")
+        }
         _register(
             registry_folder, fitted, used, seed, cv, default, at_tuned, encoder,
-            feature_subset is not None, folds,
+            feature_subset is not None, folds, {"key": key, "target": target, "data": digests},
         )
     result = Comparison(summary, cv, sweep, scores, best, fitted)
     if report_folder is not None:
@@ -196,12 +202,12 @@ def train_models(
             sweep.filter(F.col("model") == best).drop("model").orderBy("threshold"),
             f"{report_folder}/threshold_sweep",
         )
-        tables.write_report(evaluate.pr_points(val, ["model"]), f"{report_folder}/pr_points")
-        tables.write_report(evaluate.roc_points(val, ["model"]), f"{report_folder}/roc_points")
+        tables.write_points(evaluate.pr_points(val, ["model"]), f"{report_folder}/pr_points")
+        tables.write_points(evaluate.roc_points(val, ["model"]), f"{report_folder}/roc_points")
     return result
 
 
-def _register(folder, fitted, used, seed, cv, default, at_tuned, encoder, subset, folds) -> None:
+def _register(folder, fitted, used, seed, cv, default, at_tuned, encoder, subset, folds, facts) -> None:
     def keyed(table: DataFrame, *by: str) -> dict:
         return {
             tuple(r[b] for b in by): {
@@ -215,7 +221,7 @@ def _register(folder, fitted, used, seed, cv, default, at_tuned, encoder, subset
     )
     for name, model in fitted.items():
         whole = (
-            PipelineModel([encoder.stage([fixed.KEY]), *model.stages]) if encoder else model
+            PipelineModel([encoder.stage([facts["key"]]), *model.stages]) if encoder else model
         )
         registry.save_model(
             whole,
@@ -233,6 +239,8 @@ def _register(folder, fitted, used, seed, cv, default, at_tuned, encoder, subset
                 },
                 "random_state": seed,
                 "feature_subset_applied": subset,
+                "n_encoder_stages": 1 if encoder else 0,
+                **facts,
             },
         )
 
@@ -253,24 +261,19 @@ def score_split(
     """(key, y, p) of a stored model on one stored split, and its manifest.
 
     The stored pipeline encodes raw rows; the matrix is encoded already, so only
-    the stages after the encoder run.
+    the stages after the encoder run. Key, target and the number of encoder stages are facts of the manifest.
     """
     model, manifest = registry.load_model(spark, name, registry_folder)
-    data = tables.read_split(spark, matrix_path, split)
-    stages = [s for s in model.stages if not _is_encoder(s)]
-    scored = models.score(PipelineModel(stages), data, [fixed.KEY, fixed.TARGET])
+    key, target = manifest.get("key", fixed.KEY), manifest.get("target", fixed.TARGET)
+    data = tables.read_split(spark, matrix_path, split, target)
+    stages = model.stages[manifest.get("n_encoder_stages", 0):]
+    scored = models.score(PipelineModel(stages), data, [key, target])
     return (
-        scored.select(fixed.KEY, F.col(fixed.TARGET).cast("int").alias("y"), "p"),
+        scored.select(key, F.col(target).cast("int").alias("y"), "p"),
         manifest,
     )
 
 
-def _is_encoder(stage) -> bool:
-    from pyspark.ml.feature import SQLTransformer
-
-    return isinstance(stage, SQLTransformer) and " AS p FROM" not in stage.getStatement()
-
-
 def evaluate_model(
     spark: SparkSession,
     name: str,
@@ -319,7 +322,8 @@ def evaluation_report(
     if folder is not None:
         for label, table in report.items():
             if not label.startswith("metrics"):
-                tables.write_report(table, f"{folder}/{label}")
+                write = tables.write_points if label.endswith("_points") else tables.write_report
+                write(table, f"{folder}/{label}")
         record = {
             label: [r.asDict() for r in report[label].collect()]
             for label in ("metrics_default", "metrics_tuned")
@@ -350,5 +354,5 @@ def fairness_audit(
     summary = fairness.fairness_summary(groups)
     within = summary.filter(~F.col("within_thresholds")).isEmpty()
     if folder is not None:
-        tables.write_audit(groups, summary, folder, name, chosen)
+        tables.write_audit(groups, summary, folder, name, chosen, split)
     return groups, summary, within

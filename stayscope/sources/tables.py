@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
 
@@ -62,6 +63,12 @@ def write_report(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_points(df: DataFrame, path: str) -> str:
+    """Chart points, one row per distinct score, as CSV files with a header: a part per task."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
 def write_json_record(spark: SparkSession, record: Mapping, path: str) -> str:
     """One JSON document (metrics, manifest) as a one-line text table."""
     text = json.dumps(record, ensure_ascii=False, default=str)
@@ -77,9 +84,11 @@ def read_json_record(spark: SparkSession, path: str) -> dict:
 
 
 def split_manifest(
-    df: DataFrame, target: str, features: Sequence[str], seed: int, split: str = "split"
+    df: DataFrame, target: str, features: Sequence[str], seed: int, split: str = "split",
+    include_derived: bool = True, inputs: Sequence[str] = (),
 ) -> dict:
-    """Sizes and rates of the splits, seed and feature names: one small aggregate."""
+    """Time, sizes and rates of the splits, seed, input and feature names, and whether derived
+    columns are among them: one small aggregate."""
     rows = (
         df.groupBy(split)
         .agg(F.count("*").alias("n"), F.sum(label_column(df, target)).alias("pos"))
@@ -87,7 +96,10 @@ def split_manifest(
     )
     total = sum(r["n"] for r in rows)
     return {
+        "created_at": dt.datetime.now(dt.UTC).isoformat(timespec="seconds"),
         "random_seed": seed,
+        "include_derived": include_derived,
+        "input_columns": list(inputs),
         "n_features_out": len(features),
         "target_col": target,
         "target_positive_rate_global": sum(r["pos"] for r in rows) / total if total else None,
@@ -122,13 +134,20 @@ def write_selection(
 
 
 def write_audit(
-    groups: DataFrame, summary: DataFrame, folder: str, model: str, threshold: float
+    groups: DataFrame, summary: DataFrame, folder: str, model: str, threshold: float, split: str = "test"
 ) -> dict[str, str]:
-    """Group table as CSV; summary with the limits it was judged by as JSON."""
+    """Group table as CSV; summary with the limits it was judged by, the split, its rows and the
+    group sizes as JSON."""
     rows = [r.asDict() for r in summary.collect()]  # one per audited attribute
+    sizes: dict[str, dict[str, int]] = {}
+    for r in groups.select("attribute", "group", "n").collect():  # one per group
+        sizes.setdefault(r["attribute"], {})[r["group"]] = r["n"]
     record = {
         "model": model,
         "threshold": threshold,
+        "split": split,
+        "n_rows": sum(next(iter(sizes.values())).values()) if sizes else 0,
+        "group_sizes": sizes,
         "limits": {
             "disparate_impact_min": fixed.IMPACT_RATIO_MIN,
             "demographic_parity_max": fixed.PARITY_GAP_MAX,

@@ -1,4 +1,5 @@
 import numpy as np
+import hashlib
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,13 +83,29 @@ def test_permutation_importance(matrix):
     got = {
         r["feature"]: r["score"]
         for r in ranking.permutation_importance(
-            matrix, FEATURES, "Churn", "customerID", trees=10, repeats=2, max_depth=5, block_rows=150
+            matrix, FEATURES, "Churn", "customerID", trees=10, repeats=2, max_depth=5
         ).collect()
     }
     assert set(got) == set(FEATURES)
     assert got["info_0"] > max(got["noise_0"], got["noise_1"])
 
 
+@pytest.mark.parametrize("digits", [0, 1, 4])
+def test_donors_are_the_next_rows_of_one_global_order(spark, monkeypatch, digits):
+    """However many ranges there are: a cycle over all rows, so every multiset is kept."""
+    monkeypatch.setattr(ranking, "RANGE_DIGITS", digits)
+    rows = spark.createDataFrame([(f"k{i}", 0, [float(i)]) for i in range(60)], "key string, y int, own array<double>")
+    got = {r["own"][0]: r["donor"][0] for r in ranking.with_donors(rows, 5).collect()}
+    order = sorted(range(60), key=lambda i: hashlib.md5(f"5:k{i}".encode()).hexdigest())
+    assert got == {float(a): float(b) for a, b in zip(order, [*order[1:], order[0]], strict=True)}
+
+
+def test_fits_that_stop_early_are_told(matrix, monkeypatch):
+    monkeypatch.setattr(models, "MAX_ITERATIONS", 1)
+    with pytest.warns(UserWarning, match="did not converge"):
+        models.fit("logreg_balanced", matrix, FEATURES, "Churn")
+
+
 def test_consensus_rules(spark):
     scores = spark.createDataFrame(
         [("a", f"f{i}", float(5 - i)) for i in range(6)]

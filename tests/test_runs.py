@@ -1,5 +1,6 @@
 """Sources, sinks, registry, streaming and whole runs on small tables."""
 
+import datetime as dt
 import hashlib
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from stayscope.functions import fixed
-from stayscope.operators import scoring
+from stayscope.operators import fairness, profile, scoring
 from stayscope.operators.contract import ContractError
 from stayscope.plans import training
 from stayscope.plans.registered import typed_accounts
@@ -44,6 +45,8 @@ def test_matrix_and_manifest(spark, run):
     folder, prepared, _ = run
     record = tables.read_json_record(spark, f"{folder}/data/manifest")
     assert record["n_features_out"] == 35 and record["random_seed"] == 42
+    assert record["include_derived"] and record["input_columns"] == fixed.RAW_COLUMNS
+    assert dt.datetime.fromisoformat(record["created_at"]).tzinfo is not None
     sizes = {k: v["n_rows"] for k, v in record["splits"].items()}
     assert sum(sizes.values()) == customer_count(spark)
     val = tables.read_split(spark, f"{folder}/data/matrix", "val")
@@ -67,6 +70,9 @@ def test_registry(spark, run, tmp_path):
     model, manifest = registry.load_model(spark, "logreg_l1", folder)
     assert len(manifest["hash_model"]) == 64 and manifest["algorithm"] == "LogisticRegressionModel"
     assert 0.05 <= training.tuned_threshold(manifest) <= 0.95
+    train = run[1].matrix.filter("split = 'train'").select(fixed.KEY, fixed.TARGET, *[f"`{f}`" for f in run[1].features])
+    assert manifest["data"]["train"] == profile.table_digest(train.repartition(3)).first().asDict()
+    assert (manifest["key"], manifest["target"], manifest["n_encoder_stages"]) == (fixed.KEY, fixed.TARGET, 1)
     with pytest.raises(FileNotFoundError):
         registry.load_model(spark, "absent", folder)
     for bad in ("", "a/b", ".hidden"):
@@ -88,6 +94,22 @@ def test_best_model_and_broken_manifests(spark):
     assert registry.best_model(entries, "pr_auc", split="train").count() == 0
 
 
+def test_audit_record(spark, tmp_path):
+    scores = spark.createDataFrame([("x", 0.9, 1), ("x", 0.2, 0), ("y", 0.7, 1)], "g string, p double, y int")
+    groups = fairness.group_metrics(scores, ["g"])
+    summary = fairness.fairness_summary(groups)
+    assert (summary.first().n_smallest, summary.first().n_largest) == (1, 2)
+    tables.write_audit(groups, summary, str(tmp_path), "m", 0.5, "val")
+    record = tables.read_json_record(spark, f"{tmp_path}/summary")
+    assert (record["split"], record["n_rows"], record["group_sizes"]) == ("val", 3, {"g": {"x": 2, "y": 1}})
+
+
+def test_a_run_reads_the_orders_once_per_stored_table(spark):
+    """The matrix is made from a stored table, not from the orders again."""
+    matrix = training.encode_accounts(typed_accounts(spark, SF)).matrix
+    assert "orders.parquet" not in "".join(matrix.inputFiles())
+
+
 def test_checksums(spark, tmp_path):
     (tmp_path / "files").mkdir()
     (tmp_path / "files" / "a.txt").write_bytes(b"hello world")
