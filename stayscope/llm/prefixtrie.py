@@ -15,8 +15,7 @@ its depth, found by a window over one or two rows per depth and shard. Cumulativ
 numbers at both ends, shifted by the totals of the shards before, give its sums.
 
 Keys that hold many rows (a first turn of a third of all conversations, a conversation
-with a third of all turns) are joined by broadcast: at most ``HOT_KEYS`` keys can hold more than
-one in ``HOT_KEYS`` of all rows.
+with a third of all turns) are joined as :func:`spread_join` says.
 """
 
 from __future__ import annotations
@@ -31,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import ragged
 from stayscope.session import cut_lineage
 
@@ -40,9 +40,6 @@ FAMILY, SHARED = 20, 3
 #: Turns of a conversation that are summed by one task; nodes of a shard; parentheses of a block.
 CHUNK, SHARD, BLOCK = 1_024, 65_536, 64
 
-#: Most keys that are joined by broadcast.
-HOT_KEYS = 10_000
-
 #: Conversation ids hashed as one piece.
 ENDS = 4_096
 
@@ -52,17 +49,6 @@ NO_ENDS = hashlib.sha256(b"").hexdigest()
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, weight: str) -> DataFrame:
-    """Inner join on a key that is unique in ``right``, whose ``weight`` says how many rows of
-    ``left`` have it. Keys with more than one in ``HOT_KEYS`` of all rows, fewer than ``HOT_KEYS``
-    by that very count, are broadcast; no other task gets more than that share from one key."""
-    total = right.agg(F.sum(weight)).first()[0] or 0
-    limit = -(-total // HOT_KEYS)
-    hot = F.broadcast(right.filter(F.col(weight) > limit))
-    rest = left.join(hot.select(on), on, "left_anti").join(right.filter(F.col(weight) <= limit), on)
-    return left.join(hot, on).unionByName(rest)
-
-
 def numbered_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns in rebuilt order (``conv_id``, ``d``, ``digest``, ``words``, ``size``) and conversations
     (``conv_id``, ``size``: their turns after rebuilding)."""

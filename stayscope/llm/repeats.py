@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from stayscope.llm.probminhash import mixed
 from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import as_texts, slices
-from stayscope.session import cut_lineage
+from stayscope.session import cut_lineage, release
 
 #: Bytes of a repeated string, of an anchor, and anchors in a window.
 LENGTH, GRAM = 100, 32
@@ -323,6 +323,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     order = ["anchor", "context", *PLACE_ORDER]
     contexts = cut_lineage(all_contexts(docs))
     decided = cut_lineage(contexts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_decided, f"kind int, {ROW}"))
+    release(contexts)
     whole = ["doc_id", "tie", F.col("lo").alias("start"), (F.col("lo") + F.col("span") + LENGTH).alias("end")]
 
     # anchors at the borders of batches: the same decision by keys instead of neighbours

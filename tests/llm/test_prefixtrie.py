@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 
-from stayscope.llm import prefixtrie
+from stayscope.llm import prefixtrie, spread
 from stayscope.llm.prefixtrie import Parentheses, prefix_trie
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,8 +128,8 @@ def test_closes_are_found_over_blocks(monkeypatch, block):
 
 
 def test_frequent_keys_are_joined_apart(spark, monkeypatch):
-    monkeypatch.setattr(prefixtrie, "HOT_KEYS", 3)
+    monkeypatch.setattr(spread, "HOT_KEYS", 3)
     left = spark.createDataFrame([(k, i) for k, n in (("a", 50), ("b", 5), ("c", 1)) for i in range(n)], "k string, i int")
     right = spark.createDataFrame([("a", 50, 1), ("b", 5, 2), ("c", 1, 3)], "k string, n long, v int")
-    joined = prefixtrie.spread_join(left, right, "k", "n")
+    joined = spread.spread_join(left, right, "k", "n")
     assert joined.count() == 56 and joined.select("k", "v").distinct().count() == 3
