@@ -10,9 +10,9 @@ sketched twice, with counts as weights and with ones.
 
 Bands of registers give buckets. A bucket's texts are compared with pivots, not
 with each other. Where that leaves several classes in a bucket, the texts outside
-its largest class are compared with the others: as pairs in small buckets, in
-blocks of texts, without a row per pair, in large ones. Every link is verified on
-the full sets, and classes are the connected components of the links.
+its largest class are compared with the others. All comparisons are of a block of texts with
+those asked for, both bounded in texts and shingles, so that no row stands for a pair. Every link is
+verified on the full sets, and classes are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import as_texts, run_sums, slices
 from stayscope.session import cut_lineage
 
@@ -35,11 +36,14 @@ WORDS, SIMILAR = 5, 0.8
 #: Bands and registers of a band: a pair at the threshold is missed with 3 in a million.
 BANDS, ROWS = 32, 5
 
-#: A bucket with more pairs across classes than this is compared in blocks of texts.
-PAIRS, BLOCK = 4_096, 256
+#: Texts of a block, and different shingles of all its texts together.
+BLOCK, BLOCK_SHINGLES = 256, 65_536
 
-#: Rows whose sets a task unpacks at once.
-UNPACKED = 200
+#: Texts asked for up to which a block is searched in each of their sets.
+FEW = 3
+
+#: Neighbours beyond which a node is a hub, and the places its label is sent to.
+HUB, SALTS = 1_000, 16
 
 GOLDEN = 0x9E3779B97F4A7C15
 
@@ -155,7 +159,7 @@ def node_of(text: Column) -> Column:
 
 
 def bands_of(rows: DataFrame) -> DataFrame:
-    """Band keys of every row of (``doc_id``, ``node``, ``text``); no words, no keys."""
+    """Band keys of every row of (``doc_id``, ``node``, ``text``) and the size of its set; no words, no keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 2)):
@@ -168,11 +172,12 @@ def bands_of(rows: DataFrame) -> DataFrame:
                 for i, own in zip([*filled, *again], band_keys(sketch(jobs)).tolist(), strict=True):
                     keys[i] = sorted({*keys[i], *own})
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"],
+                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array([len(s) for s, _ in sets], pa.int64())],
+                names=["doc_id", "node", "bands", "size"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "node", "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>")
+    return rows.select("doc_id", "node", "text").mapInArrow(run, f"doc_id {kind}, node binary, bands array<long>, size long")
 
 
 def sets_of(rows: DataFrame) -> DataFrame:
@@ -194,41 +199,29 @@ def _set(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return own, np.frombuffer(counts, "<u4") if counts else np.ones(len(own), np.int64)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """The pairs (``a``, ``b``) whose similarity on the full sets is ``similar`` or more."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, UNPACKED) for b in batches for at in range(0, b.num_rows, UNPACKED)):
-            found = [
-                similarity(_set(ah, ac), _set(bh, bc))
-                for ah, ac, bh, bc in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
-            ]
-            kept = pa.array([f >= similar for f in found], pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
-            yield out.filter(kept)
-
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ah"), F.col("counts").alias("ac"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("bh"), F.col("counts").alias("bc"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ah", "ac", "bh", "bc")
-    return joined.mapInArrow(run, "a binary, b binary, similarity double")
-
-
 def _links_of_block(members: list[dict], similar: float) -> list[tuple[bytes, bytes, float]]:
     """Links between the texts of a block (side 0) and those asked for (side 1), one
     for each text asked for and each other class: connection is all that counts."""
     block = [m for m in members if m["side"] == 0]
     sets = [_set(m["hashes"], m["counts"]) for m in block]
     sizes = np.array([len(s) for s, _ in sets], np.int64)
-    different, where = np.unique(np.concatenate([s for s, _ in sets]), return_inverse=True)
-    labels = np.array([m["label"] for m in block], object)
+    every = np.concatenate([s for s, _ in sets])
+    labels = [m["label"] for m in block]
     plain = np.array([not m["counts"] for m in block])
+    asked = [m for m in members if m["side"] == 1]
+    # the shingles of the block are numbered once, unless few texts are asked for
+    different, where = np.unique(every, return_inverse=True) if len(asked) > FEW else (None, None)
     out = []
-    for m in (m for m in members if m["side"] == 1):
+    for m in asked:
         own = _set(m["hashes"], m["counts"])
-        at = np.minimum(np.searchsorted(different, own[0]), len(different) - 1)
-        held = np.zeros(len(different), np.int64)
-        held[at[different[at] == own[0]]] = 1
-        both = run_sums(held[where], sizes)
+        if different is None:
+            at = np.minimum(np.searchsorted(own[0], every), len(own[0]) - 1)
+            both = run_sums(own[0][at] == every, sizes)
+        else:
+            at = np.minimum(np.searchsorted(different, own[0]), len(different) - 1)
+            held = np.zeros(len(different), np.int8)
+            held[at[different[at] == own[0]]] = 1
+            both = run_sums(held[where], sizes)
         near = both / np.maximum(1, sizes + len(own[0]) - both)
         for j in np.flatnonzero((both > 0) & (near < similar) & (~plain | bool(m["counts"]))).tolist():
             near[j] = similarity(own, sets[j])
@@ -240,9 +233,9 @@ def _links_of_block(members: list[dict], similar: float) -> list[tuple[bytes, by
     return out
 
 
-def links_in_blocks(open_: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links across classes in large buckets (``key``, ``node``, ``label``, ``main``, ``n``,
-    ``minor``), found block against block."""
+def links_in_blocks(against: DataFrame, asked: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Links (``a``, ``b``, ``similarity``) across labels between texts ``against`` and texts ``asked`` that
+    share ``key``, ``block`` and ``ask`` (each with ``node`` and ``label``)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,43 +246,89 @@ def links_in_blocks(open_: DataFrame, sets: DataFrame, similar: float = SIMILAR)
                     names=["a", "b", "similarity"],
                 )
 
-    blocks, asks = F.ceil(F.col("n") / BLOCK), F.ceil(F.col("minor") / BLOCK)
-    place = F.xxhash64("node", "key")
-
-    def every(count: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
-
-    against = open_.select("key", "node", "label", F.pmod(place, blocks).alias("block"), every(asks).alias("ask"), F.lit(0).alias("side"))
-    asked = open_.filter(F.col("label") != F.col("main")).select(
-        "key", "node", "label", every(blocks).alias("block"), F.pmod(place, asks).alias("ask"), F.lit(1).alias("side"),
-    )
-    met = against.unionAll(asked.select("key", "node", "label", "block", "ask", "side")).join(sets, "node")
+    columns = ["key", "block", "ask", "node", "label"]
+    met = against.select(*columns, F.lit(0).alias("side")).unionAll(asked.select(*columns, F.lit(1).alias("side"))).join(sets, "node")
     gathered = met.groupBy("key", "block", "ask").agg(
         F.collect_list(F.struct("side", "node", "label", "hashes", "counts")).alias("members"), F.min("side").alias("least"), F.max("side").alias("most"),
     )
     return gathered.filter("least < most").select("members").mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def _parts(texts: Column, shingles: Column) -> Column:
+    """Number of blocks for so many texts with so many shingles."""
+    return F.greatest(F.ceil(texts / BLOCK), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1).cast("long"))
+
+
+def _every(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+
+
+def links_to_pivots(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Links among different pairs of a ``pivot`` and a ``node`` (whose set has ``size`` shingles): a pivot's
+    set is sent once per block of its partners."""
+    counts = cut_lineage(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes")))
+    of_pivot = F.col("pivot").alias("key")
+    blocks = _parts(F.col("n"), F.col("sizes"))
+    nothing = F.lit(0).cast("long").alias("ask")
+    against = spread_join(pairs, counts, "pivot", "n").select(
+        of_pivot, "node", F.col("node").alias("label"), F.pmod(F.xxhash64("node", "pivot"), blocks).alias("block"), nothing,
+    )
+    asked = counts.select(of_pivot, F.col("pivot").alias("node"), F.col("pivot").alias("label"), _every(blocks).alias("block"), nothing)
+    return links_in_blocks(against, asked, sets, similar)
+
+
+def links_across(open_: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Links across classes in buckets (``key``, ``node``, ``label``, and of the bucket: ``main`` class, texts
+    ``n`` and shingles ``sizes``, those outside the main class ``minor`` and ``minor_sizes``)."""
+    blocks, asks = _parts(F.col("n"), F.col("sizes")), _parts(F.col("minor"), F.col("minor_sizes"))
+    place = F.xxhash64("node", "key")
+    against = open_.select("key", "node", "label", F.pmod(place, blocks).alias("block"), _every(asks).alias("ask"))
+    asked = open_.filter(F.col("label") != F.col("main")).select(
+        "key", "node", "label", _every(blocks).alias("block"), F.pmod(place, asks).alias("ask"),
+    )
+    return links_in_blocks(against, asked, sets, similar)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Least node of the connected component of every node of ``edges`` (``a``, ``b``).
 
     Every round takes the least label among the neighbours and then follows the
-    label's own label; each round is stored, and rounds end when nothing changes.
+    label's own label; each round is one stored table, and rounds end when nothing changes. A node
+    with more than ``HUB`` neighbours sends its label to ``SALTS`` places, between which they are dealt; so
+    does every label to its nodes.
     """
-    both = cut_lineage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).withColumnRenamed("a", "node"))
+    ends = cut_lineage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut_lineage(ends.groupBy("a").agg(
+        F.least(F.min("b"), F.col("a")).alias("label"), F.count(F.lit(1)).alias("degree"),
+    ).withColumnRenamed("a", "node"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = F.pmod(F.xxhash64("a"), F.lit(SALTS)).cast("int")
+    hubs = labels.filter(F.col("degree") > HUB).select(F.col("node").alias("b"), F.lit(True).alias("_hub"), every.alias("_deal"))
+    both = cut_lineage(ends.withColumn("_deal", dealt).join(hubs, ["b", "_deal"], "left").select(
+        "a", "b", F.when(F.col("_hub"), F.col("_deal")).otherwise(0).alias("salt"),
+    ))
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("degree") > HUB, SALTS - 1).otherwise(0)))
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(
-            F.min("label").alias("seen")
+        sent = labels.select(F.col("node").alias("b"), "label", copies.alias("salt"))
+        near = both.join(sent, ["b", "salt"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
+        stepped = labels.join(near, "node").select(
+            "node", "degree", F.col("label").alias("old"), F.least("label", "seen").alias("label"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"),
         )
-        stepped = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        moved = cut_lineage(stepped.join(jump, "label", "left").select(
-            "node", F.least("label", F.coalesce("further", "label")).alias("label"), "old",
-        ))
-        labels = moved.select("node", "label")
+        used = labels.select(F.col("label").alias("node")).distinct()
+        jump = labels.join(used, "node", "left_semi").select(F.col("node").alias("label"), F.col("label").alias("further"), every.alias("salt"))
+        moved = cut_lineage(stepped.join(jump, ["label", "salt"]).select("node", "degree", F.least("label", "further").alias("label"), "old"))
+        labels = moved.select("node", "label", "degree")
         if moved.filter(F.col("old") != F.col("label")).isEmpty():
-            return labels
+            return labels.select("node", "label")
+
+
+def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and labels with the links found since; the labels stand if there are none."""
+    found = cut_lineage(found)
+    if found.isEmpty():
+        return edges, labels
+    edges = edges.unionAll(found)
+    return edges, components(edges)
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -297,56 +336,47 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Nodes of all rows (``doc_id``, ``node``; null texts have none) and the label of
-    every node that has a verified link (``node``, ``label``)."""
-    rows = docs.select("doc_id", node_of(F.col("text")).alias("node"), "text")
-    sketched = cut_lineage(bands_of(rows.filter(F.col("text").isNotNull())))
-    nodes = sketched.groupBy("node").agg(F.min("bands").alias("bands"), F.min("doc_id").alias("holder"))
-    spread = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("n > 1")
-    members = cut_lineage(spread.join(buckets, "key").select("key", "node", "low", "high"))
-    shared = members.select("node").distinct()
-    holders = sketched.join(shared, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    # rows of these keys may hold other texts too, whose sets are then never asked for
-    wanted = rows.filter(F.col("text").isNotNull()).join(holders, "doc_id", "left_semi")
-    sets = cut_lineage(sets_of(wanted.join(shared, "node", "left_semi").select("node", "text")).groupBy("node").agg(
-        F.min("hashes").alias("hashes"), F.min("counts").alias("counts")
-    ))
-
-    def pair(one: Column, other: Column) -> list[Column]:
-        return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
-
-    low = members.filter(F.col("node") != F.col("low")).select(*pair(F.col("low"), F.col("node")))
-    tried = cut_lineage(low.distinct())
-    edges = cut_lineage(verified(tried, sets))
+    """Rows that hold a text (``doc_id``, ``node``) and the label of every node that has a
+    verified link (``node``, ``label``)."""
+    rows = docs.filter(F.col("text").isNotNull()).select("doc_id", node_of(F.col("text")).alias("node"), "text")
+    sketched = cut_lineage(bands_of(rows))
+    nodes = cut_lineage(sketched.groupBy("node").agg(F.min("bands").alias("bands"), F.min("size").alias("size"), F.min("doc_id").alias("doc_id")))
+    spread = nodes.select("node", "size", F.explode("bands").alias("key"))
+    buckets = cut_lineage(spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"), F.max("node").alias("high")).filter("n > 1"))
+    members = cut_lineage(spread_join(spread, buckets, "key", "n").select("key", "node", "size", "low"))
+
+    # the sets of one row of each text that shares a bucket; its key may be null
+    holders = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("node").alias("_node"), F.col("doc_id").alias("_held"))
+    wanted = rows.join(holders, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("_held")), "left_semi")
+    sets = cut_lineage(sets_of(wanted.select("node", "text")).groupBy("node").agg(F.min("hashes").alias("hashes"), F.min("counts").alias("counts")))
+
+    def sides(pairs: DataFrame) -> DataFrame:
+        one, other = F.col("pivot"), F.col("node")
+        return pairs.withColumns({"a": F.least(one, other), "b": F.greatest(one, other)})
+
+    tried = cut_lineage(sides(members.filter(F.col("node") != F.col("low")).select(F.col("low").alias("pivot"), "node", "size").distinct()))
+    edges = cut_lineage(links_to_pivots(tried, sets))
     labels = components(edges)
 
     # the other end of every bucket that still holds several classes
-    known = _labelled(members, labels)
-    top = labels.select(F.col("node").alias("high"), F.col("label").alias("top"))
-    other = known.join(top, "high", "left").filter(F.coalesce("top", "high") != F.col("label"))
-    second = cut_lineage(other.select(*pair(F.col("high"), F.col("node"))).distinct().join(tried, ["a", "b"], "left_anti"))
-    edges = edges.unionAll(cut_lineage(verified(second, sets)))
-    labels = components(edges)
-    tried = tried.unionAll(second)
-
-    # what is left: pairs across classes, outside the largest class of the bucket against all
-    known = cut_lineage(_labelled(members.select("key", "node"), labels))
-    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("of_class"))
-    several = sizes.groupBy("key").agg(
-        F.count(F.lit(1)).alias("classes"), F.max(F.struct("of_class", "label")).alias("largest"), F.sum("of_class").alias("n"),
+    tops = _labelled(buckets.select(F.col("high").alias("node"), "key", "n"), labels).select("key", "n", F.col("node").alias("high"), F.col("label").alias("top"))
+    known = cut_lineage(_labelled(members.select("key", "node", "size"), labels))
+    other = spread_join(known, cut_lineage(tops), "key", "n").filter(F.col("top") != F.col("label"))
+    second = cut_lineage(sides(other.select(F.col("high").alias("pivot"), "node", "size").distinct()).join(tried, ["a", "b"], "left_anti"))
+    edges, labels = _grown(edges, labels, links_to_pivots(second, sets))
+
+    # what is left: the texts outside the largest class of a bucket against all
+    known = cut_lineage(_labelled(members.select("key", "node", "size"), labels))
+    classes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("texts"), F.sum("size").alias("sizes"))
+    several = classes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("classes"), F.max(F.struct("texts", "sizes", "label")).alias("main"), F.sum("texts").alias("n"), F.sum("sizes").alias("sizes"),
     ).filter("classes > 1").select(
-        "key", F.col("largest.label").alias("main"), "n", (F.col("n") - F.col("largest.of_class")).alias("minor"),
+        "key", F.col("main.label").alias("main"), "n", "sizes", (F.col("n") - F.col("main.texts")).alias("minor"),
+        (F.col("sizes") - F.col("main.sizes")).alias("minor_sizes"),
     )
-    open_ = cut_lineage(known.join(several, "key"))
-    few = F.col("n") * F.col("minor") <= PAIRS
-    small = open_.filter(few)
-    minor = small.filter(F.col("label") != F.col("main")).select("key", F.col("node").alias("one"), F.col("label").alias("of"))
-    across = small.join(minor, "key").filter(F.col("label") != F.col("of")).select(*pair(F.col("one"), F.col("node")))
-    third = across.distinct().join(tried, ["a", "b"], "left_anti")
-    edges = edges.unionAll(cut_lineage(verified(third, sets))).unionAll(cut_lineage(links_in_blocks(open_.filter(~few), sets)))
-    membership = sketched.select("doc_id", "node").unionAll(rows.filter(F.col("text").isNull()).select("doc_id", "node"))
-    return membership, components(edges)
+    open_ = cut_lineage(spread_join(known.drop("size"), cut_lineage(several), "key", "n"))
+    _, labels = _grown(edges, labels, links_across(open_, sets))
+    return sketched.select("doc_id", "node"), labels
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -357,25 +387,33 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     link; a null text is a class of its own. Null keys give way to others. Columns
     other than ``doc_id`` and ``text`` are not read.
     """
-    membership, labels = link_classes(docs.select("doc_id", "text"))
-    placed = cut_lineage(_labelled(membership.filter(F.col("node").isNotNull()), labels))
-    texts = placed.groupBy("label", "node").agg(F.min("doc_id").alias("doc_id"))
-    classes = texts.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
-    alone = membership.filter(F.col("node").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_texts"))
-    return placed.join(classes, "label").select("doc_id", "class_id", "n_texts").unionAll(alone)
+    chosen = docs.select("doc_id", "text")
+    membership, labels = link_classes(chosen)
+    nodes = membership.groupBy("node").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    texts = cut_lineage(_labelled(nodes, labels))
+    classes = texts.groupBy("label").agg(F.min("least").alias("class_id"), F.count(F.lit(1)).alias("n_texts"))
+    many = cut_lineage(spread_join(texts, cut_lineage(classes), "label", "n_texts").select("node", "n", "class_id", "n_texts"))
+    placed = spread_join(membership, many, "node", "n").select("doc_id", "class_id", "n_texts")
+    alone = chosen.filter(F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_texts"))
+    return placed.unionAll(alone)
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """One row of each class, that with the least key (null first), then the least digest
-    of the text; repeated rows leave one. Null texts all stay. Columns are passed on."""
+    of the text; of rows alike in both the least in the columns' order (as JSON where a column has no order).
+    Null texts all stay. Columns are passed on."""
     membership, labels = link_classes(docs.select("doc_id", "text"))
-    placed = _labelled(membership.filter(F.col("node").isNotNull()), labels)
-    chosen = placed.groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("k")).select(
-        F.col("k.doc_id").alias("_key"), F.col("k.node").alias("_node"),
-    )
+    texts = _labelled(membership.groupBy("node").agg(F.min(F.struct("doc_id"))["doc_id"].alias("doc_id")), labels)
+
+    def place(key: Column, node: Column) -> Column:
+        return F.concat_ws(":", F.hex(node), key.cast("string"))
+
+    chosen = texts.groupBy("label").agg(F.min(F.struct("doc_id", "node")).alias("k")).select(place(F.col("k.doc_id"), F.col("k.node")).alias("_place"))
     held = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("_key"), node_of(F.col("text")).alias("_node"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), place(F.col("doc_id"), node_of(F.col("text"))).alias("_place"),
+        F.col("text").isNull().alias("_none"),
     )
-    met = held.join(chosen, held["_key"].eqNullSafe(chosen["_key"]) & (held["_node"] == chosen["_node"]), "left_semi")
-    single = met.groupBy("_key", "_node").agg(F.first("row").alias("row"))
-    return single.select("row.*").unionAll(held.filter(F.col("_node").isNull()).select("row.*"))
+    ordered = not any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
+    least = F.min("row") if ordered else F.min_by("row", F.to_json("row"))
+    single = held.filter(~F.col("_none")).join(chosen, "_place", "left_semi").groupBy("_place").agg(least.alias("row"))
+    return single.select("row.*").unionAll(held.filter("_none").select("row.*"))

@@ -89,10 +89,10 @@ def made_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize("pairs", [0, 4_096])
-def test_classes_match_brute_force(spark, monkeypatch, pairs):
-    monkeypatch.setattr(probminhash, "PAIRS", pairs)
-    monkeypatch.setattr(probminhash, "BLOCK", 4)
+@pytest.mark.parametrize(("texts_of_block", "shingles_of_block"), [(4, 65_536), (256, 300), (256, 65_536)])
+def test_classes_match_brute_force(spark, monkeypatch, texts_of_block, shingles_of_block):
+    monkeypatch.setattr(probminhash, "BLOCK", texts_of_block)
+    monkeypatch.setattr(probminhash, "BLOCK_SHINGLES", shingles_of_block)
     texts = made_texts(np.random.default_rng(8))
     rows = [(i, t, "x", 0) for i, t in enumerate(texts)] + [(900, None, "x", 0), (901, None, "x", 0), (3, texts[3], "x", 0), (None, texts[3], "x", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string, class_id int")
@@ -116,6 +116,25 @@ def test_chains_are_followed_through_full_buckets(spark):
     assert got == dict(enumerate(classes_of(texts))) and set(got.values()) == {0}
 
 
+def test_a_near_copy_without_a_key_keeps_its_link(spark):
+    words = [f"w{i}" for i in range(200)]
+    copy = [*words[:100], "other", *words[101:]]
+    docs = spark.createDataFrame([(1, " ".join(words)), (None, " ".join(copy)), (None, "far away")], "doc_id long, text string")
+    got = probminhash.near_duplicate_classes(docs).collect()
+    assert sorted((r.doc_id or 0, r.class_id or 0, r.n_texts) for r in got) == [(0, 0, 1), (0, 1, 2), (1, 1, 2)]
+
+
+def test_long_texts_and_rows_alike_in_key_and_text(spark):
+    words = [f"w{i % 9_000}x{i // 9_000}" for i in range(20_000)]
+    long, copy = " ".join(words), " ".join([*words[:-3], "new", "last", "words"])
+    rows = [(1, long, "b", {"k": 2}), (1, long, "a", {"k": 3}), (1, long, "a", {"k": 1}), (2, copy, "z", None), (3, None, "n", None), (3, None, "n", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label string, node map<string, int>")
+    kept = [(r.doc_id, r.label, r.node) for r in probminhash.one_per_class(docs).collect()]
+    assert sorted(kept, key=repr) == [(1, "a", {"k": 1}), (3, "n", None), (3, "n", None)]
+    plain = probminhash.one_per_class(docs.drop("node")).collect()
+    assert sorted((r.doc_id, r.label) for r in plain) == [(1, "a"), (3, "n"), (3, "n")]
+
+
 def test_corpus_classes(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = docs.orderBy("doc_id").collect()
