@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+import warnings
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayscope.llm.bytebpe import byte_encoder
-from stayscope.llm.wordwise import as_texts, slices, word_codes
+from stayscope.llm.spread import spread_join
+from stayscope.llm.wordwise import BLANK_RUN, as_texts, run_sums, slices, word_codes
 from stayscope.session import cut_lineage
 
 #: Topics, hashed word counts they are found in, and rounds of fitting.
@@ -26,9 +30,18 @@ START_KEYS = 2_000
 #: depend on the order of the rows.
 VECTOR_SCALE = 65_535
 
-#: Values of a dimension that keep a weight of their own, heaviest first; all others
-#: share one. Bounds the table of cells: 201 sources x 201 languages x 8 topics.
-NAMED_VALUES = 200
+#: Most cells (values of source, language and topic that occur together) that are raked on the
+#: driver. More stay a table, which is raked by joins and sums.
+CELLS = 200_000
+
+#: Most cells whose probabilities are broadcast to the rows.
+SENT_CELLS = 10_000
+
+#: Words whose counts and places a Python worker keeps.
+KEPT_WORDS = 500_000
+
+#: The fitting of topics ends when no centre moves further than this.
+TOPIC_STEP = 1e-3
 
 #: Default targets: shares to this power, so that small sources gain.
 TEMPER = 0.7
@@ -42,18 +55,79 @@ ROUNDS, TOLERANCE = 200, 1e-10
 #: which the greatest share of tokens that meets all targets is searched.
 BOUND_ROUNDS, BOUND_TOLERANCE, SHARE_STEPS = 1_000, 1e-7, 8
 
+#: The same for the table of cells, and what the share of tokens falls to after rounds that do not meet the targets.
+TABLE_ROUNDS, TABLE_TOLERANCE, SHARE_FALL = 60, 1e-4, 0.7
+
+#: A target missed by more than this share of the tokens is told.
+TOLD_GAP = 1e-3
+
 DIMENSIONS = ("source", "lang", "topic")
 
 
+def word_places(words: Sequence[str]) -> np.ndarray:
+    """Place of each word in a vector; behind all places for blank ones."""
+    bare = [w.strip().lower() for w in words]
+    return np.fromiter((zlib.crc32(w.encode()) % WIDTH if w else WIDTH for w in bare), np.int64, len(bare))
+
+
+def vectors_of(places: np.ndarray, per_text: np.ndarray) -> np.ndarray:
+    """Counts of the places of each text, square-rooted, of unit length (zero if empty)."""
+    row = np.repeat(np.arange(len(per_text)), per_text)
+    flat = np.bincount(row * (WIDTH + 1) + places, minlength=len(per_text) * (WIDTH + 1))
+    vectors = np.sqrt(flat.reshape(-1, WIDTH + 1)[:, :WIDTH])
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+
+
 def word_vectors(texts: pa.Array) -> np.ndarray:
     """Hashed counts of lower-case words, square-rooted, of unit length (zero if empty)."""
     words, codes, per_text = word_codes(texts)
-    place = np.fromiter((zlib.crc32(w.strip().lower().encode()) % WIDTH for w in words), np.int64, len(words))
-    seen = np.fromiter((bool(w.strip()) for w in words), bool, len(words))
-    row = np.repeat(np.arange(len(per_text)), per_text)
-    flat = np.bincount(row * WIDTH + place[codes], seen[codes].astype(float), len(per_text) * WIDTH)
-    vectors = np.sqrt(flat.reshape(-1, WIDTH))
-    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    return vectors_of(word_places(words)[codes], per_text)
+
+
+class WordTable:
+    """Number of ids and vector place of the words met so far by a Python worker."""
+
+    def __init__(self, encode_words: Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]):
+        self.encode_words = encode_words
+        self.forget()
+
+    def forget(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.length = np.zeros(0, np.int32)
+        self.place = np.zeros(0, np.int16)
+
+    def slots(self, words: Sequence[str]) -> np.ndarray:
+        if len(self.slot) > KEPT_WORDS:
+            self.forget()
+        found = np.fromiter((self.slot.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            fresh = [words[i] for i in new.tolist()]
+            found[new] = np.arange(len(self.slot), len(self.slot) + len(new))
+            self.slot.update(zip(fresh, found[new].tolist(), strict=True))
+            self.length = np.concatenate((self.length, self.encode_words(fresh)[1].astype(np.int32)))
+            self.place = np.concatenate((self.place, word_places(fresh).astype(np.int16)))
+        return found
+
+
+@functools.cache
+def word_table(vocabulary: str) -> WordTable:
+    return WordTable(byte_encoder(vocabulary).memory.encode_words)
+
+
+def vectors_and_tokens(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """Word vectors and numbers of ids of all texts, words being split and looked up once for both.
+
+    Texts that cannot be cut into words are counted whole.
+    """
+    encoder, table = byte_encoder(vocabulary), word_table(vocabulary)
+    words, codes, per_text = word_codes(texts)
+    slots = table.slots(words)
+    counts = run_sums(table.length[slots][codes], per_text)
+    unsafe = pc.match_substring_regex(texts, BLANK_RUN).to_numpy(zero_copy_only=False)
+    for i in np.flatnonzero(unsafe).tolist():
+        counts[i] = len(encoder.whole(texts[i].as_py()))
+    return vectors_of(table.place[slots][codes].astype(np.int64), per_text), counts
 
 
 def _unit(sums: np.ndarray) -> np.ndarray:
@@ -67,16 +141,17 @@ def centre_sums(stored: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def find_centres(starts: np.ndarray, sums_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """K-means on the sphere: rounds of means over all rows, from the given starts."""
+    """K-means on the sphere: rounds of means over all rows, from the given starts, until
+    no centre moves by more than ``TOPIC_STEP``."""
     if not len(starts):
         return np.zeros((1, WIDTH))
-    found, last = starts / float(VECTOR_SCALE), None
+    found = starts / float(VECTOR_SCALE)
     for _ in range(TOPIC_ROUNDS):
         sums = sums_of(found)
-        if last is not None and (sums == last).all():
+        moved = np.array([_unit(s.astype(float)) if s.any() else old for s, old in zip(sums, found, strict=True)])
+        step, found = np.linalg.norm(moved - found, axis=1).max(), moved
+        if step <= TOPIC_STEP:
             break
-        found = np.array([_unit(s.astype(float)) if s.any() else old for s, old in zip(sums, found, strict=True)])
-        last = sums
     return found
 
 
@@ -138,13 +213,10 @@ def with_vectors_and_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     at = names.index("text")
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_encoder(vocabulary)
         for batch in (part for whole in batches for part in slices(whole, at)):
-            texts = as_texts(batch.column(at))
-            vectors = [v.tobytes() for v in stored_vectors(word_vectors(texts))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(vectors, pa.binary()), pa.array(encoder.count(texts) + 1)], names=names,
-            )
+            vectors, counts = vectors_and_tokens(as_texts(batch.column(at)), vocabulary)
+            stored = [v.tobytes() for v in stored_vectors(vectors)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(stored, pa.binary()), pa.array(counts + 1)], names=names)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(add, f"{fields}, _vector binary, _tokens long")
@@ -189,7 +261,7 @@ def rake(weights: np.ndarray, members: Sequence[np.ndarray], targets: Sequence[n
         for own, want in zip(members, wanted, strict=True):
             have = np.bincount(own, weights * factor, len(want))
             scale = np.divide(want, have, out=np.ones(len(want)), where=have > 0)
-            off = max(off, np.abs(scale[have > 0] - 1).max())
+            off = max(off, np.abs(scale[have > 0] - 1).max(initial=0))
             factor *= scale[own]
         if off < TOLERANCE:
             break
@@ -226,7 +298,7 @@ def bounded_rake(
         for own, share in zip(members, shares, strict=True):
             have = np.bincount(own, weights * np.minimum(1, factor), len(share))
             scale = np.divide(total * share, have, out=np.ones(len(share)), where=have > 0)
-            off = max(off, np.abs(scale[have > 0] - 1).max())
+            off = max(off, np.abs(scale[have > 0] - 1).max(initial=0))
             factor = np.minimum(factor * scale[own], 1e100)
         if off < BOUND_TOLERANCE:
             return np.minimum(1, factor)
@@ -272,20 +344,85 @@ def exact_probabilities(
     return found
 
 
-def _named(rows: DataFrame, column: str) -> list:
-    """The heaviest values of a dimension, null among them if heavy enough."""
-    sums = rows.groupBy(column).agg(F.sum("_tokens").alias("t"))
-    return [r[0] for r in sums.orderBy(F.desc("t"), F.asc_nulls_first(column)).limit(NAMED_VALUES).collect()]
+def _told(gap: float) -> None:
+    if gap > TOLD_GAP:
+        warnings.warn(f"the mixture misses a target by {gap:.4f} of its tokens", stacklevel=3)
 
 
-def _place(column: str, values: Sequence) -> Column:
-    """Position of a value among the named ones; their number for all others."""
-    known = [v for v in values if v is not None]
-    place = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in known]), F.col(column)), F.lit(0)) if known else F.lit(0)
-    out = F.when(place > 0, place - 1).otherwise(len(values))
-    if None in values:
-        return F.when(F.col(column).isNull(), len(known)).otherwise(out).cast("int")
-    return out.cast("int")
+def probabilities_here(cells: Sequence, targets: Mapping[str, Mapping] | None, exact: bool) -> list[tuple[float, float]]:
+    """Weight and probability of each collected cell (source, lang, topic, tokens)."""
+    weights = np.array([float(c[3]) for c in cells])
+    members, wanted = [], []
+    for d, name in enumerate(DIMENSIONS):
+        place: dict = {}
+        members.append(np.array([place.setdefault(c[d], len(place)) for c in cells], np.int64))
+        if targets and name in targets:
+            wanted.append(np.array([float(targets[name].get(v, 0)) for v in place]))
+        else:
+            share = np.bincount(members[d], weights, len(place))
+            wanted.append(np.power(share / max(share.sum(), 1.0), TEMPER))
+    if not len(cells):
+        return []
+    factor = rake(weights, members, wanted)
+    chance = exact_probabilities(weights, members, factor, wanted) if exact else None
+    if chance is not None:
+        factor = chance * weights.sum() / max((chance * weights).sum(), 1e-300)
+    else:
+        rate = sampling_rate(weights, factor)
+        chance = np.array([min(1.0, f * rate) if f > 0 else 0.0 for f in factor])
+    for own, want in zip(members, wanted, strict=True):
+        if exact and want.sum():
+            _told(np.abs(np.bincount(own, chance * weights) / max((chance * weights).sum(), 1e-300) - want / want.sum()).max())
+    return list(zip(factor.tolist(), chance.tolist(), strict=True))
+
+
+def probabilities_there(cells: DataFrame, targets: Mapping[str, Mapping] | None) -> DataFrame:
+    """``cells`` (dimensions, ``t`` tokens, ``_cell``, ``n``) with ``_weight`` and ``_probability``, raked as a table.
+
+    The probability is min(1, product of a factor per value): every step sums a dimension's values and joins
+    their scales back. Rounds that do not meet the targets are begun again with
+    ``SHARE_FALL`` of the share of tokens; the first share that meets them stands.
+    """
+    spark = cells.sparkSession
+    columns = ["source", "lang", "_topic"]
+    total = cells.agg(F.sum("t")).first()[0]
+    wanted, kept = [], KEPT_SHARE
+    for name, column in zip(DIMENSIONS, columns, strict=True):
+        values = cells.groupBy(column).agg(F.sum("t").alias("held"), F.count(F.lit(1)).alias("_cells"))
+        if targets and name in targets:
+            kind = cells.schema[column].dataType
+            given = spark.createDataFrame(
+                [(v, float(max(x, 0))) for v, x in targets[name].items()], T.StructType([T.StructField("given", kind), T.StructField("want", T.DoubleType())]),
+            )
+            values = values.join(given, F.col(column).eqNullSafe(F.col("given")), "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
+        else:
+            values = values.withColumn("want", F.pow(F.col("held").cast("double"), F.lit(TEMPER)))
+        whole = values.agg(F.sum("want")).first()[0] or 1.0
+        values = cut_lineage(values.select(F.to_json(F.struct(column)).alias("_value"), "held", "_cells", (F.col("want") / whole).alias("share")))
+        least = values.filter("share > 0").agg(F.min(F.col("held") / total / F.col("share"))).first()[0]
+        kept = min(kept, least if least is not None else kept)
+        wanted.append(values)
+
+    while True:
+        now = cells.withColumn("f", F.lit(kept))
+        for _ in range(TABLE_ROUNDS):
+            off = 0.0
+            for column, values in zip(columns, wanted, strict=True):
+                own = now.withColumn("_value", F.to_json(F.struct(column)))
+                have = own.groupBy("_value").agg(F.sum(F.col("t") * F.least(F.lit(1.0), F.col("f"))).alias("have"))
+                scale = cut_lineage(values.join(have, "_value").select(
+                    "_value", "_cells", F.when(F.col("have") > 0, F.lit(kept * total) * F.col("share") / F.col("have")).otherwise(1.0).alias("scale"),
+                ))
+                off = max(off, scale.agg(F.max(F.abs(F.col("scale") - 1))).first()[0])
+                met = spread_join(own, scale, "_value", "_cells")
+                now = cut_lineage(met.withColumn("f", F.least(F.col("f") * F.col("scale"), F.lit(1e100))).select(*cells.columns, "f"))
+            if off < TABLE_TOLERANCE:
+                break
+        if off < TABLE_TOLERANCE or kept < 1e-6:
+            _told(off if off >= TABLE_TOLERANCE else 0.0)
+            chance = F.least(F.lit(1.0), F.col("f"))
+            return now.select("_cell", "n", (chance / kept).alias("_weight"), chance.alias("_probability"))
+        kept *= SHARE_FALL
 
 
 def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = None, seed: int = 1, exact: bool = False) -> DataFrame:
@@ -300,40 +437,30 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
     does not shrink the rest. With ``exact`` the cells are raked under that bound: expected
     tokens meet all targets, ``_weight`` is the probability over the share of tokens kept,
     and that share is less than ``KEPT_SHARE`` only where the targets cannot be met
-    with it; where empty cells leave no answer at any share, it is as without ``exact``. A document stays if a uniform number from ``_hash`` and
+    with it; where empty cells leave no answer at any share, it is as without ``exact``. Every value has its own
+    target, however many there are: more than ``CELLS`` cells are raked as a table, under
+    the bound in any case. A missed target is warned of. A document stays if a uniform number from ``_hash`` and
     the seed lies below: rows alike in key and text share their fate.
     """
     spark = rows.sparkSession
     columns = ["source", "lang", "_topic"]
-    named = [_named(rows, c) for c in columns]
-    placed = rows.withColumns({f"_p{i}": _place(c, v) for i, (c, v) in enumerate(zip(columns, named, strict=True))})
-    keys = ["_p0", "_p1", "_p2"]
-    cells = placed.groupBy(*keys).agg(F.sum("_tokens").alias("t")).collect()
-    weights = np.array([float(c.t) for c in cells])
-    members = [np.array([c[k] for c in cells], np.int64) for k in keys]
-    wanted = []
-    for i, name in enumerate(DIMENSIONS):
-        share = np.bincount(members[i], weights, len(named[i]) + 1) if len(cells) else np.zeros(len(named[i]) + 1)
-        if targets and name in targets:
-            given = targets[name]
-            wanted.append(np.array([float(given.get(v, 0)) for v in named[i]] + [
-                float(sum(s for v, s in given.items() if v not in named[i]))]))
-        else:
-            wanted.append(np.power(share / max(share.sum(), 1.0), TEMPER))
-    factor = rake(weights, members, wanted)
-    chance = exact_probabilities(weights, members, factor, wanted) if exact and len(cells) else None
-    if chance is not None:
-        factor = chance * weights.sum() / max((chance * weights).sum(), 1e-300)
+    placed = rows.withColumn("_cell", F.to_json(F.struct(*columns)))
+    cells = cut_lineage(placed.groupBy("_cell", *columns).agg(F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("n")))
+    n_cells = cells.count()
+    if n_cells <= CELLS:
+        held = cells.select(*columns, "t", "_cell", "n").collect()
+        found = spark.createDataFrame(
+            [(c["_cell"], c["n"], w, p) for c, (w, p) in zip(held, probabilities_here(held, targets, exact), strict=True)],
+            "_cell string, n long, _weight double, _probability double",
+        )
     else:
-        rate = sampling_rate(weights, factor) if len(cells) else 1.0
-        chance = np.array([min(1.0, f * rate) if f > 0 else 0.0 for f in factor])
-    schema = T.StructType([*(T.StructField(k, T.IntegerType()) for k in keys), T.StructField("_weight", T.DoubleType()),
-                           T.StructField("_probability", T.DoubleType())])
-    found = spark.createDataFrame(
-        [(c[0], c[1], c[2], float(f), float(p)) for c, f, p in zip(cells, factor, chance, strict=True)], schema,
-    )
+        found = cut_lineage(probabilities_there(cells, targets))
+    if n_cells <= SENT_CELLS:
+        met = placed.join(F.broadcast(found.drop("n")), "_cell", "left")
+    else:
+        met = spread_join(placed, found, "_cell", "n").drop("n")
     uniform = F.shiftrightunsigned(F.xxhash64("_hash", F.lit(seed)), 11) / F.lit(float(2**53))
-    return placed.join(F.broadcast(found), keys, "left").withColumn("_kept", uniform < F.col("_probability")).drop(*keys)
+    return met.withColumn("_kept", uniform < F.col("_probability")).drop("_cell")
 
 
 def mixture_table(
