@@ -15,7 +15,9 @@ def _broken(rule: quality.Threshold) -> str:
     if rule.most is not None:
         tests.append(f"{part} > {rule.most}" if whole is None else f"100 * {part} > {rule.most} * {whole}")
     test = f"({' OR '.join(tests)})"
-    return test if whole is None else f"({whole} > 0 AND {test})"
+    test = test if whole is None else f"({whole} > 0 AND {test})"
+    names = ", ".join(f"'{x}'" for x in rule.languages)
+    return f"(coalesce(lang IN ({names}), false) AND {test})" if names else test
 
 
 def measured_sql(source: str) -> str:

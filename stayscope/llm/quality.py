@@ -21,18 +21,23 @@ STOP_WORDS = (
     "el", "los", "las", "y", "en", "del", "se", "por", "con", "su", "una", "no", "es",
 )
 
+#: Languages those words are of.
+LISTED_LANGUAGES = ("en", "de", "fr", "es")
+
 
 @dataclass(frozen=True)
 class Threshold:
     """A text is rejected if 100 * part / whole of two measures leaves the range
     (percent, both ends allowed). ``whole`` None compares the measure itself.
-    A zero whole never rejects."""
+    A zero whole never rejects. ``languages`` are those the rule holds for (empty: all,
+    unknown ones too)."""
 
     name: str
     part: str
     whole: str | None = None
     least: int | None = None
     most: int | None = None
+    languages: tuple[str, ...] = ()
 
 
 #: Base rule of the contract, kept apart so that its outcome shows alone.
@@ -46,7 +51,7 @@ RULES = (
     Threshold("word_length", "word_chars", "n_words", least=200, most=1800),
     Threshold("symbols", "n_symbols", "n_words", most=10),
     Threshold("duplicate_lines", "n_dup_lines", "n_lines", most=50),
-    Threshold("stop_words", "n_stop_words", "n_words", least=2),
+    Threshold("stop_words", "n_stop_words", "n_words", least=2, languages=LISTED_LANGUAGES),
     Threshold("shouted_words", "n_shouted", "n_words", most=40),
     Threshold("exclamations", "n_exclamations", "n_words", most=30),
 )
@@ -104,7 +109,7 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(covered)
 
 
-def violated(rule: Threshold, of: str = "_m") -> Column:
+def violated(rule: Threshold, of: str = "_m", lang: str | None = "lang") -> Column:
     """Whether a row breaks the rule; whole numbers only, so engines agree."""
     part = F.col(f"{of}.{rule.part}")
     if rule.whole is None:
@@ -121,30 +126,38 @@ def violated(rule: Threshold, of: str = "_m") -> Column:
     if rule.most is not None:
         tests.append(high > most)
     broken = tests[0] if len(tests) == 1 else tests[0] | tests[1]
+    if rule.languages:
+        broken = broken & (F.col(lang).isin(*rule.languages) if lang else F.lit(False))
     return F.coalesce(broken, F.lit(False))
 
 
 def judge(df: DataFrame, text: str = "text", base: Sequence[Threshold] = BASE, rules: Sequence[Threshold] = RULES) -> DataFrame:
     """Add ``_m`` (the measures), ``_base_failed``, ``_broken`` (names of the broken
     rules) and ``_kept`` (no rule broken). Every column of ``df`` is passed on;
-    a null or empty text fails the base rule on the number of words."""
-    names = F.array_compact(F.array(*[F.when(violated(r), F.lit(r.name)) for r in (*base, *rules)]))
-    failed = violated(base[0])
+    a null or empty text fails the base rule on the number of words. Rules of some languages only
+    read the column ``lang``; rows without one, or with another language, cannot break them."""
+    lang = "lang" if "lang" in df.columns else None
+    names = F.array_compact(F.array(*[F.when(violated(r, lang=lang), F.lit(r.name)) for r in (*base, *rules)]))
+    failed = violated(base[0], lang=lang)
     for rule in base[1:]:
-        failed = failed | violated(rule)
+        failed = failed | violated(rule, lang=lang)
     return with_measures(df, text).withColumns({"_base_failed": failed, "_broken": names}).withColumn(
         "_kept", F.size("_broken") == 0
     )
 
 
+def _language(docs: DataFrame) -> list[Column]:
+    return [F.col("lang").cast("string").alias("lang")] if "lang" in docs.columns else []
+
+
 def quality_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, the base measures, ``base_failed``, ``kept`` and the names of the broken rules.
 
-    Repeated rows stay, null keys too; other columns are not read. Store the table
+    Repeated rows stay, null keys too; besides these, only ``lang`` is read, if it is there. Store the table
     before filtering it: Spark moves a filter below the measures, where each use of a
     word list builds it anew. :func:`keep_good` filters without that.
     """
-    m = judge(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    m = judge(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *_language(docs)))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return m.select(
         "doc_id", *[F.col(f"_m.{c}").alias(c) for c in base], F.col("_base_failed").alias("base_failed"),
@@ -154,7 +167,7 @@ def quality_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that break no rule, with the columns they came with, whatever their names."""
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("text"), *_language(docs))
     # a filter is moved below projections, where every use of a word list would build it
     # anew; the random column keeps it above, and is never below zero
     return judge(held).withColumn("_above", F.rand(0)).filter(F.col("_kept") & (F.col("_above") >= 0)).select("row.*")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayscope.llm.wordwise import as_texts, ragged, run_sums, slices
@@ -22,6 +22,9 @@ from stayscope.llm.wordwise import as_texts, ragged, run_sums, slices
 #: Documents of each label that the model is fitted on: those with the least hash of the key.
 SAMPLE_PER_LABEL = 2_000
 
+#: Bytes of text of all of them together, per label.
+BYTES_PER_LABEL = 64_000_000
+
 #: Hashed features, and the prefixes of a word that are features beside the word.
 FEATURES = 1 << 18
 PREFIXES = (4, 5, 6)
@@ -138,12 +141,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER_LABEL, bytes_per_label: int = BYTES_PER_LABEL,
+) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    Per label, the ``sample_per_label`` keys with the least hash are taken; their
-    features are made by Spark and fitted on the driver. Several labels of a key
-    count as toxic if one is; null labels and keys teach nothing.
+    Per label, the ``sample_per_label`` keys with the least hash are taken, as long as their
+    whole texts together stay below ``bytes_per_label``; their features are made by Spark and fitted
+    on the driver. Several labels of a key count as toxic if one is, and of several texts of a key
+    the least counts; null labels and keys teach nothing.
     """
     known = labels.filter(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("label")
@@ -174,9 +180,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_per_label: int = SAMPLE_PER
             )
 
     # at most twice the sample size of keys, so this side is small by the parameter
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "text", F.col("label").cast("int").alias("label")
-    ).mapInArrow(extract, "label int, sentences binary, features binary").collect()
+    single = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    inside = Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    bounded = single.withColumn("upto", F.sum(size).over(inside)).filter(F.col("upto") <= bytes_per_label)
+    rows = bounded.select("text", F.col("label").cast("int").alias("label")).mapInArrow(extract, "label int, sentences binary, features binary").collect()
     return fit(
         np.concatenate([np.frombuffer(r.features, np.int32) for r in rows] or [np.zeros(0, np.int32)]),
         np.concatenate([np.frombuffer(r.sentences, "<i4") for r in rows] or [np.zeros(0, np.int32)]),

@@ -75,6 +75,17 @@ def test_toxicity_without_teachers_and_odd_rows(spark):
     assert toxicity.drop_toxic(docs, empty).count() == 5
 
 
+def test_sample_takes_one_row_of_a_key_and_bounds_the_bytes(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda features, per_sentence, per_text, labels: seen.append(labels.tolist()))
+    docs = spark.createDataFrame([(i % 40, f"some words {i % 40} " * 50) for i in range(400)] + [(41, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(42)] + [(3, 1)] * 30, "doc_id long, toxic int")
+    for most in (64_000_000, 3_000):
+        toxicity.train(docs, labels, bytes_per_label=most)
+    taught = 42 - sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in (*range(40), 41)) - 1
+    assert len(seen[0]) == taught and 0 < len(seen[1]) < len(seen[0])
+
+
 def test_rake_meets_the_marginals():
     rng = np.random.default_rng(2)
     members = [np.repeat(np.arange(3), 4), np.tile(np.arange(4), 3)]
@@ -143,6 +154,38 @@ def test_bound_lowers_the_share_only_where_needed():
         assert np.allclose(np.bincount(members[1], p * weights) / (p * weights).sum(), target, atol=1e-6)
 
 
+@pytest.mark.parametrize("cells", [0, 200_000])
+def test_every_source_has_its_own_target(spark, monkeypatch, cells):
+    """300 sources, two of them wanted; as a table of cells and on the driver."""
+    monkeypatch.setattr(mixture, "CELLS", cells)
+    monkeypatch.setattr(mixture, "SENT_CELLS", min(cells, 10))
+    rows = [(k, "a b c d", f"s{k % 300}" if k % 7 else None, "en" if k % 2 else None) for k in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = mixture.mixture_table(docs, bytebpe.vocabulary_path(), {"source": {"s299": 0.5, "s0": 0.5}}, exact=True).toPandas()
+    assert len(got) == 1_500 and set(got[got.probability > 0].source) == {"s299", "s0"}
+    drawn = (got.tokens * got.probability).groupby(got.source).sum()
+    assert np.isclose(drawn["s299"], drawn["s0"], rtol=1e-3) and drawn.sum() > 0
+    lang = (got.tokens * got.probability).groupby(got.lang.fillna("none")).sum() / drawn.sum()
+    now = got.groupby(got.lang.fillna("none")).tokens.sum()
+    assert np.allclose(lang, now**mixture.TEMPER / (now**mixture.TEMPER).sum(), atol=2e-3)
+
+
+def test_missed_targets_are_told():
+    with pytest.warns(UserWarning, match="misses a target"):
+        mixture.probabilities_here([("a", "x", 0, 10), ("b", "y", 0, 10)], {"source": {"a": 1.0}, "lang": {"y": 1.0}}, True)
+
+
+def test_vectors_and_counts_are_those_of_whole_texts(monkeypatch):
+    texts = ["", " ", "a  b", "One two\nTHREE one", "a \n b", "é漢 😀 x" * 3, "word " * 5_000]
+    encoder = bytebpe.byte_encoder(bytebpe.vocabulary_path())
+    for kept in (500_000, 3):
+        monkeypatch.setattr(mixture, "KEPT_WORDS", kept)
+        for _ in range(2):
+            vectors, tokens = mixture.vectors_and_tokens(as_texts(pa.array(texts)), bytebpe.vocabulary_path())
+            assert np.allclose(vectors, mixture.word_vectors(as_texts(pa.array(texts))))
+            assert tokens.tolist() == [len(encoder.whole(t)) for t in texts]
+
+
 def test_mixture_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (None, "a b", "s", "en"), (3, "", "s", None), (4, "c d", "t", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
@@ -208,6 +251,14 @@ def test_forest_odd_vectors(spark):
     assert forest.nearest(one, one).count() == 0
 
 
+def test_forest_vectors_of_extreme_size(spark):
+    rows = [(0, [1e200, 0.0]), (1, [1e200, 1e199]), (2, [1e-200, 1e-200]), (3, [5e-324, 0.0]), (4, [-1e300, 1e300])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = forest.nearest(table, table.filter("vec_id = 0")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 1, 2, 4]
+    assert np.allclose([r.score for r in got], [1, 1 / np.sqrt(1.01), np.sqrt(0.5), -np.sqrt(0.5)])
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_topics_of_few_rows(n):
     vectors = mixture.word_vectors(as_texts(pa.array(["a b", "c d", ""][:n], pa.string())))

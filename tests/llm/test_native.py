@@ -45,6 +45,16 @@ def test_quality_measures_and_base(spark):
     assert quality.quality_table(docs.limit(0)).count() == 0
 
 
+def test_stop_words_are_asked_for_in_listed_languages_only(spark):
+    text = "Это чистый русский текст о погоде. " * 3 + " ".join(f"слово{i}" for i in range(60))
+    rows = [(i, text, lang) for i, lang in enumerate(["ru", None, "en", "xx", "de"])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    got = {r.doc_id: r.broken_rules for r in quality.quality_table(docs).collect()}
+    assert got == {0: "", 1: "", 2: "stop_words", 3: "", 4: "stop_words"}
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {0, 1, 3}
+    assert quality.keep_good(docs.drop("lang")).count() == 5
+
+
 def test_quality_keeps_good_labels_and_drops_bad(spark):
     got = quality.quality_table(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
