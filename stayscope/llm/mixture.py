@@ -11,14 +11,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayscope.llm.bytebpe import byte_encoder
 from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import BLANK_RUN, as_texts, run_sums, slices, word_codes
-from stayscope.session import cut_lineage
+from stayscope.session import cut_lineage, release
 
 #: Topics, hashed word counts they are found in, and rounds of fitting.
 TOPICS, WIDTH, TOPIC_ROUNDS = 8, 256, 25
@@ -31,7 +31,7 @@ START_KEYS = 2_000
 VECTOR_SCALE = 65_535
 
 #: Most cells (values of source, language and topic that occur together) that are raked on the
-#: driver. More stay a table, which is raked by joins and sums.
+#: driver. More stay a table, which is raked to the same end by joins and sums.
 CELLS = 200_000
 
 #: Most cells whose probabilities are broadcast to the rows.
@@ -55,9 +55,6 @@ ROUNDS, TOLERANCE = 200, 1e-10
 #: which the greatest share of tokens that meets all targets is searched.
 BOUND_ROUNDS, BOUND_TOLERANCE, SHARE_STEPS = 1_000, 1e-7, 8
 
-#: The same for the table of cells, and what the share of tokens falls to after rounds that do not meet the targets.
-TABLE_ROUNDS, TABLE_TOLERANCE, SHARE_FALL = 60, 1e-4, 0.7
-
 #: A target missed by more than this share of the tokens is told.
 TOLD_GAP = 1e-3
 
@@ -376,53 +373,158 @@ def probabilities_here(cells: Sequence, targets: Mapping[str, Mapping] | None, e
     return list(zip(factor.tolist(), chance.tolist(), strict=True))
 
 
-def probabilities_there(cells: DataFrame, targets: Mapping[str, Mapping] | None) -> DataFrame:
-    """``cells`` (dimensions, ``t`` tokens, ``_cell``, ``n``) with ``_weight`` and ``_probability``, raked as a table.
+class CellTable:
+    """Cells (dimensions, ``t`` tokens, ``_cell``, ``n``) raked as a table: the steps, bounds and
+    tolerances of ``rake``, ``bounded_rake``, ``sampling_rate`` and ``exact_probabilities``, of
+    which every sum is an aggregate and every scaling a join.
 
-    The probability is min(1, product of a factor per value): every step sums a dimension's values and joins
-    their scales back. Rounds that do not meet the targets are begun again with
-    ``SHARE_FALL`` of the share of tokens; the first share that meets them stands.
+    ``wants`` holds a table per dimension: ``_v0`` to ``_v2`` (the value as JSON), ``want`` and ``_cells``.
     """
-    spark = cells.sparkSession
-    columns = ["source", "lang", "_topic"]
-    total = cells.agg(F.sum("t")).first()[0]
-    wanted, kept = [], KEPT_SHARE
-    for name, column in zip(DIMENSIONS, columns, strict=True):
-        values = cells.groupBy(column).agg(F.sum("t").alias("held"), F.count(F.lit(1)).alias("_cells"))
-        if targets and name in targets:
-            kind = cells.schema[column].dataType
-            given = spark.createDataFrame(
-                [(v, float(max(x, 0))) for v, x in targets[name].items()], T.StructType([T.StructField("given", kind), T.StructField("want", T.DoubleType())]),
-            )
-            values = values.join(given, F.col(column).eqNullSafe(F.col("given")), "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
-        else:
-            values = values.withColumn("want", F.pow(F.col("held").cast("double"), F.lit(TEMPER)))
-        whole = values.agg(F.sum("want")).first()[0] or 1.0
-        values = cut_lineage(values.select(F.to_json(F.struct(column)).alias("_value"), "held", "_cells", (F.col("want") / whole).alias("share")))
-        least = values.filter("share > 0").agg(F.min(F.col("held") / total / F.col("share"))).first()[0]
-        kept = min(kept, least if least is not None else kept)
-        wanted.append(values)
-
-    while True:
-        now = cells.withColumn("f", F.lit(kept))
-        for _ in range(TABLE_ROUNDS):
+
+    def __init__(self, cells: DataFrame, targets: Mapping[str, Mapping] | None):
+        self.keys = [f"_v{d}" for d in range(len(DIMENSIONS))]
+        columns = ["source", "lang", "_topic"]
+        self.all = cut_lineage(cells.select("_cell", "n", "t", *[F.to_json(F.struct(c)).alias(k) for c, k in zip(columns, self.keys, strict=True)]))
+        self.total, self.size = float(self.all.agg(F.sum("t")).first()[0] or 0), self.all.count()
+        self.wants, self.few = [], []
+        for name, column, key in zip(DIMENSIONS, columns, self.keys, strict=True):
+            values = cells.groupBy(column).agg(F.sum("t").alias("held"), F.count(F.lit(1)).alias("_cells"))
+            if targets and name in targets:
+                given = cells.sparkSession.createDataFrame(
+                    [(v, float(x)) for v, x in targets[name].items()],
+                    T.StructType([T.StructField("given", cells.schema[column].dataType), T.StructField("want", T.DoubleType())]),
+                )
+                values = values.join(given, F.col(column).eqNullSafe(F.col("given")), "left").withColumn("want", F.coalesce("want", F.lit(0.0)))
+            else:
+                values = values.withColumn("want", F.pow(F.col("held") / F.lit(max(self.total, 1.0)), F.lit(TEMPER)))
+            self.wants.append(cut_lineage(values.select(F.to_json(F.struct(column)).alias(key), "_cells", "want")))
+            self.few.append(self.wants[-1].count() <= SENT_CELLS)
+
+    def with_values(self, now: DataFrame, values: DataFrame, d: int) -> DataFrame:
+        if self.few[d]:
+            return now.join(F.broadcast(values.drop("_cells")), self.keys[d])
+        return spread_join(now, values, self.keys[d], "_cells").drop("_cells")
+
+    def sums(self, now: DataFrame, amount: Column, d: int) -> DataFrame:
+        return now.groupBy(self.keys[d]).agg(F.sum(amount).alias("have"))
+
+    def fit(self, now: DataFrame, wants: Sequence[DataFrame], bounded: bool) -> tuple[DataFrame, bool]:
+        """``f`` of every cell after rounds of scaling to the ``want`` of each value, and whether they came to them."""
+        rounds, tolerance = (BOUND_ROUNDS, BOUND_TOLERANCE) if bounded else (ROUNDS, TOLERANCE)
+        amount = F.col("t") * (F.least(F.lit(1.0), F.col("f")) if bounded else F.col("f"))
+        names, held = now.columns, None
+        for _ in range(rounds):
             off = 0.0
-            for column, values in zip(columns, wanted, strict=True):
-                own = now.withColumn("_value", F.to_json(F.struct(column)))
-                have = own.groupBy("_value").agg(F.sum(F.col("t") * F.least(F.lit(1.0), F.col("f"))).alias("have"))
-                scale = cut_lineage(values.join(have, "_value").select(
-                    "_value", "_cells", F.when(F.col("have") > 0, F.lit(kept * total) * F.col("share") / F.col("have")).otherwise(1.0).alias("scale"),
+            for d, values in enumerate(wants):
+                scale = cut_lineage(values.join(self.sums(now, amount, d), self.keys[d]).select(
+                    self.keys[d], "_cells", "have", F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(1.0).alias("scale"),
                 ))
-                off = max(off, scale.agg(F.max(F.abs(F.col("scale") - 1))).first()[0])
-                met = spread_join(own, scale, "_value", "_cells")
-                now = cut_lineage(met.withColumn("f", F.least(F.col("f") * F.col("scale"), F.lit(1e100))).select(*cells.columns, "f"))
-            if off < TABLE_TOLERANCE:
+                off = max(off, scale.filter("have > 0").agg(F.max(F.abs(F.col("scale") - 1))).first()[0] or 0.0)
+                f = F.col("f") * F.col("scale")
+                now = cut_lineage(self.with_values(now, scale.drop("have"), d).withColumn("f", F.least(f, F.lit(1e100)) if bounded else f).select(names))
+                for old in (scale, held):
+                    if old is not None:
+                        release(old)
+                held = now
+            if off < tolerance:
+                return now, True
+        return now, False
+
+    def rake(self) -> DataFrame:
+        shut = F.lit(False)
+        now = self.all
+        for d, values in enumerate(self.wants):
+            if values.filter("want > 0").isEmpty():
+                continue
+            now = self.with_values(now, values, d).withColumn("shut", shut | (F.col("want") <= 0)).drop("want")
+            shut = F.col("shut")
+        if "shut" in now.columns:
+            live = cut_lineage(now.filter(~F.col("shut")).drop("shut"))
+            now = self.all if live.isEmpty() else live
+        wants = []
+        for d, values in enumerate(self.wants):
+            here = values.join(now.select(self.keys[d]).distinct(), self.keys[d]).withColumn("want", F.greatest(F.col("want"), F.lit(0.0)))
+            whole, n = here.agg(F.sum("want"), F.count(F.lit(1))).first()
+            share = F.col("want") / whole if whole else F.lit(1.0 / max(n, 1))
+            wants.append(cut_lineage(here.withColumn("want", F.lit(self.total) * share)))
+        raked = self.fit(now.withColumn("f", F.lit(1.0)), wants, False)[0]
+        if raked.count() == self.size:
+            return raked
+        shut = self.all.join(raked.select("_cell"), "_cell", "left_anti")
+        return cut_lineage(raked.unionByName(shut.withColumn("f", F.lit(0.0)), allowMissingColumns=True))
+
+    def shares(self, now: DataFrame, amount: Column) -> list[DataFrame]:
+        """Per dimension: each value's ``share`` of the amount, beside its ``want`` and ``held`` tokens."""
+        whole = now.agg(F.sum(amount)).first()[0] or 1e-300
+        return [
+            values.join(now.groupBy(self.keys[d]).agg((F.sum(amount) / F.lit(whole)).alias("share"), F.sum("t").alias("held")), self.keys[d])
+            for d, values in enumerate(self.wants)
+        ]
+
+    def gaps(self, shares: Sequence[DataFrame], want: Column) -> list[float]:
+        """Per dimension: greatest distance of a share from its part of what is wanted."""
+        wholes = [values.agg(F.sum(want)).first()[0] for values in shares]
+        return [
+            values.agg(F.max(F.abs(F.col("share") - want / F.lit(whole)))).first()[0] if whole else 0.0
+            for values, whole in zip(shares, wholes, strict=True)
+        ]
+
+    def exact(self, raked: DataFrame, most: float = KEPT_SHARE) -> DataFrame | None:
+        total, top = raked.agg(F.sum(F.col("t") * F.col("f")), F.max("f")).first()
+        if not total:
+            return raked.withColumn("f", F.lit(0.0))
+        shares = [cut_lineage(s) for s in self.shares(raked, F.col("t") * F.col("f"))]
+        held_want = F.when(F.col("share") > 0, F.greatest(F.col("want"), F.lit(0.0))).otherwise(0.0)
+        if max(self.gaps(shares, held_want)) > BOUND_TOLERANCE:
+            return None
+        low = total / self.total / top
+        if low >= most:
+            return raked.withColumn("f", F.lit(most / low) * F.col("f") / F.lit(top))
+        found, high = raked.withColumn("f", F.col("f") / F.lit(top)), most
+        for values in shares:
+            high = min(high, values.filter("share > 0").agg(F.min(F.col("held") / F.lit(self.total) / F.col("share"))).first()[0])
+        middle = high
+        for _ in range(SHARE_STEPS + 1):
+            wants = [v.select(self.keys[d], "_cells", (F.lit(middle * self.total) * F.col("share")).alias("want")) for d, v in enumerate(shares)]
+            tried, met = self.fit(self.all.withColumn("f", F.lit(middle)), wants, True)
+            if met:
+                found, low = tried.withColumn("f", F.least(F.lit(1.0), F.col("f"))), middle
+            else:
+                high = middle
+            if low >= high:
                 break
-        if off < TABLE_TOLERANCE or kept < 1e-6:
-            _told(off if off >= TABLE_TOLERANCE else 0.0)
-            chance = F.least(F.lit(1.0), F.col("f"))
-            return now.select("_cell", "n", (chance / kept).alias("_weight"), chance.alias("_probability"))
-        kept *= SHARE_FALL
+            middle = (low * high) ** 0.5
+        return found
+
+    def rate(self, raked: DataFrame, share: float = KEPT_SHARE) -> float:
+        """``sampling_rate``, by steps to where the line through the cells not yet whole keeps the share."""
+        wanted, held = share * self.total, raked.filter("f > 0")
+        if (held.agg(F.sum("t")).first()[0] or 0) <= wanted:
+            return float("inf")
+        found = 0.0
+        while True:
+            whole = F.col("f") * F.lit(found) >= 1
+            kept, rest = held.agg(F.sum(F.when(whole, F.col("t"))), F.sum(F.when(~whole, F.col("t") * F.col("f")))).first()
+            step = (wanted - (kept or 0)) / rest if rest else found
+            if step <= found * (1 + 1e-15):
+                return found
+            found = step
+
+    def probabilities(self, exact: bool) -> DataFrame:
+        """``_cell``, ``n``, ``_weight`` and ``_probability``."""
+        raked = self.rake()
+        chance = self.exact(raked) if exact else None
+        if chance is not None:
+            kept = chance.agg(F.sum(F.col("f") * F.col("t"))).first()[0] or 1e-300
+            weight, chance = F.col("f") * F.lit(self.total / kept), chance.withColumn("_probability", F.col("f"))
+        else:
+            weight, chance = F.col("f"), raked.withColumn(
+                "_probability", F.when(F.col("f") > 0, F.least(F.lit(1.0), F.col("f") * F.lit(self.rate(raked)))).otherwise(0.0),
+            )
+        if exact:
+            for gap in self.gaps(self.shares(chance, F.col("_probability") * F.col("t")), F.col("want")):
+                _told(gap)
+        return chance.select("_cell", "n", weight.alias("_weight"), "_probability")
 
 
 def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = None, seed: int = 1, exact: bool = False) -> DataFrame:
@@ -438,8 +540,8 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
     tokens meet all targets, ``_weight`` is the probability over the share of tokens kept,
     and that share is less than ``KEPT_SHARE`` only where the targets cannot be met
     with it; where empty cells leave no answer at any share, it is as without ``exact``. Every value has its own
-    target, however many there are: more than ``CELLS`` cells are raked as a table, under
-    the bound in any case. A missed target is warned of. A document stays if a uniform number from ``_hash`` and
+    target, however many there are: more than ``CELLS`` cells are raked as a table, by the same
+    steps and tolerances, to the same probabilities. A missed target is warned of. A document stays if a uniform number from ``_hash`` and
     the seed lies below: rows alike in key and text share their fate.
     """
     spark = rows.sparkSession
@@ -454,7 +556,7 @@ def mix_probabilities(rows: DataFrame, targets: Mapping[str, Mapping] | None = N
             "_cell string, n long, _weight double, _probability double",
         )
     else:
-        found = cut_lineage(probabilities_there(cells, targets))
+        found = cut_lineage(CellTable(cells, targets).probabilities(exact))
     if n_cells <= SENT_CELLS:
         met = placed.join(F.broadcast(found.drop("n")), "_cell", "left")
     else:

@@ -1,5 +1,6 @@
 """Toxicity, mixture and the prefix forest against plain computations."""
 
+import warnings
 import zlib
 
 import numpy as np
@@ -170,6 +171,31 @@ def test_every_source_has_its_own_target(spark, monkeypatch, cells):
     assert np.allclose(lang, now**mixture.TEMPER / (now**mixture.TEMPER).sum(), atol=2e-3)
 
 
+@pytest.mark.parametrize("exact, targets", [
+    (False, None), (False, {"source": {"a": 0.7, "c": 0.3}}), (True, None), (True, {"lang": {}}),
+    (True, {"source": {"a": 1.0}, "topic": {1: 1.0}, "lang": {"en": 1.0}}),
+])
+def test_the_table_of_cells_is_raked_as_on_the_driver(spark, monkeypatch, exact, targets):
+    """With and without the bound, scarce values, closed cells and targets that cannot be met."""
+    for name, few in (("ROUNDS", 4), ("BOUND_ROUNDS", 3), ("SHARE_STEPS", 1), ("BOUND_TOLERANCE", 1e-2)):
+        monkeypatch.setattr(mixture, name, few)
+    cells = [("a", "en", 0, 900), ("a", "de", 1, 50), ("b", None, 0, 300), ("b", "en", 1, 30), ("c", "de", 0, 70), ("c", "en", 1, 10), ("d", "en", 0, 40)]
+    rows = spark.createDataFrame(
+        [(*c[:3], c[3], i) for i, c in enumerate(cells)], "source string, lang string, _topic int, _tokens long, _hash long",
+    )
+    got = []
+    for most in (200_000, 0):
+        monkeypatch.setattr(mixture, "CELLS", most)
+        with warnings.catch_warnings(record=True) as told:
+            warnings.simplefilter("always")
+            out = mixture.mix_probabilities(rows, targets, exact=exact).orderBy("_hash").collect()
+        told = [str(w.message) for w in told if "misses a target" in str(w.message)]
+        got.append(([r._probability for r in out], [r._weight for r in out], told))
+    here, there = got
+    assert np.allclose(there[0], here[0], rtol=1e-9, atol=1e-12) and np.allclose(there[1], here[1], rtol=1e-9, atol=1e-12)
+    assert there[2] == here[2]
+
+
 def test_missed_targets_are_told():
     with pytest.warns(UserWarning, match="misses a target"):
         mixture.probabilities_here([("a", "x", 0, 10), ("b", "y", 0, 10)], {"source": {"a": 1.0}, "lang": {"y": 1.0}}, True)
