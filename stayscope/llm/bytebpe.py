@@ -21,6 +21,9 @@ BLANK = "Ġ"
 #: Characters given to the encoder at once.
 JOINED_CHARS = 2_000
 
+#: Texts of that size given to it in one call.
+JOINED_TEXTS = 32
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
@@ -74,6 +77,26 @@ class ByteEncoder:
             out[np.repeat(from_ - (ends - n), n) + np.arange(len(ids))] = ids
         return out, lengths
 
+    def count_words(self, words: Sequence[str]) -> np.ndarray:
+        """Number of ids of each word; no offsets are made."""
+        lengths = np.zeros(len(words), np.int64)
+        joined = np.asarray([i for i, w in enumerate(words) if len(w) > 1 and w[0] == " " and not w[1].isspace()], np.int64)
+        chars = np.cumsum([len(words[i]) for i in joined.tolist()], dtype=np.int64)
+        ends = np.flatnonzero(np.diff(chars // JOINED_CHARS, append=-1)) + 1
+        for at in range(0, len(ends), JOINED_TEXTS):
+            some = ends[at:at + JOINED_TEXTS]
+            starts = np.concatenate(([ends[at - 1] if at else 0], some[:-1]))
+            texts = ["".join(words[i] for i in joined[a:b].tolist()) for a, b in zip(starts.tolist(), some.tolist(), strict=True)]
+            got = [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            first = np.flatnonzero(self.starts_blank[ids := np.concatenate(got)])
+            own = joined[starts[0]:some[-1]]
+            if len(first) != len(own):
+                raise RuntimeError("a token of this vocabulary spans two words")
+            lengths[own] = np.diff(np.append(first, len(ids)))
+        for i in np.setdiff1d(np.arange(len(words)), joined).tolist():
+            lengths[i] = len(self.whole(words[i]))
+        return lengths
+
     def _unsafe(self, texts: pa.Array) -> np.ndarray:
         return pc.match_substring_regex(texts, BLANK_RUN).to_numpy(zero_copy_only=False)
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stayscope.llm.bytebpe import byte_encoder
 from stayscope.llm.spread import spread_join
-from stayscope.llm.wordwise import BLANK_RUN, as_texts, run_sums, slices, word_codes
+from stayscope.llm.wordwise import BLANK_RUN, as_texts, blank_words, run_sums, slices, word_codes
 from stayscope.session import cut_lineage, release
 
 #: Topics, hashed word counts they are found in, and rounds of fitting.
@@ -40,6 +40,12 @@ SENT_CELLS = 10_000
 #: Words whose counts and places a Python worker keeps.
 KEPT_WORDS = 500_000
 
+#: Marks cut off the end of a word before it is looked up, and the end of the letters they may follow.
+END_MARKS, LATIN_END = ".,;:!?)", "\u0250"
+
+#: Vectors multiplied with the centres at once.
+SUMMED_ROWS = 2_000
+
 #: The fitting of topics ends when no centre moves further than this.
 TOPIC_STEP = 1e-3
 
@@ -69,8 +75,9 @@ def word_places(words: Sequence[str]) -> np.ndarray:
 
 def vectors_of(places: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     """Counts of the places of each text, square-rooted, of unit length (zero if empty)."""
-    row = np.repeat(np.arange(len(per_text)), per_text)
-    flat = np.bincount(row * (WIDTH + 1) + places, minlength=len(per_text) * (WIDTH + 1))
+    flat = np.repeat(np.arange(len(per_text)) * (WIDTH + 1), per_text)
+    flat += places
+    flat = np.bincount(flat, minlength=len(per_text) * (WIDTH + 1))
     vectors = np.sqrt(flat.reshape(-1, WIDTH + 1)[:, :WIDTH])
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
 
@@ -81,35 +88,72 @@ def word_vectors(texts: pa.Array) -> np.ndarray:
     return vectors_of(word_places(words)[codes], per_text)
 
 
+def cut_marks(words: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Each word without the full stops, commas and so on behind its last letter, and these.
+
+    A byte-pair vocabulary never joins a letter and such a mark. Other words stay whole.
+    """
+    bare = [w.rstrip(END_MARKS) for w in words]
+    bare = [b if b and b[-1] < LATIN_END and b[-1].isalpha() else w for b, w in zip(bare, words, strict=True)]
+    return bare, [w[len(b):] for b, w in zip(bare, words, strict=True)]
+
+
 class WordTable:
     """Number of ids and vector place of the words met so far by a Python worker."""
 
-    def __init__(self, encode_words: Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode_words = encode_words
+    def __init__(self, count_words: Callable[[Sequence[str]], np.ndarray]):
+        self.count_words = count_words
         self.forget()
 
     def forget(self) -> None:
         self.slot: dict[str, int] = {}
         self.length = np.zeros(0, np.int32)
         self.place = np.zeros(0, np.int16)
+        self.again = np.zeros(0, bool)
+
+    def _thin(self) -> None:
+        """Drop the words that came in one slice only, or all if that is not enough."""
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > KEPT_WORDS:
+            self.forget()
+            return
+        words = list(self.slot)
+        self.slot = {words[k]: i for i, k in enumerate(kept.tolist())}
+        self.length, self.place = self.length[kept], self.place[kept]
+        self.again = np.zeros(len(kept), bool)
+
+    def _counts(self, words: Sequence[str]) -> np.ndarray:
+        """Ids of words not met before; only what is before their marks, if new, is encoded."""
+        bare, marks = cut_marks(words)
+        new = list(dict.fromkeys(w for w in (*bare, *marks) if w and w not in self.slot))
+        counts = dict(zip(new, self.count_words(new).tolist(), strict=True))
+        counts[""] = 0
+
+        def count(word: str) -> int:
+            known = counts.get(word)
+            return int(self.length[self.slot[word]]) if known is None else known
+
+        return np.fromiter((count(b) + count(m) for b, m in zip(bare, marks, strict=True)), np.int32, len(words))
 
     def slots(self, words: Sequence[str]) -> np.ndarray:
         if len(self.slot) > KEPT_WORDS:
-            self.forget()
+            self._thin()
         found = np.fromiter((self.slot.get(w, -1) for w in words), np.int64, len(words))
+        self.again[found[found >= 0]] = True
         new = np.flatnonzero(found < 0)
         if len(new):
             fresh = [words[i] for i in new.tolist()]
+            self.length = np.concatenate((self.length, self._counts(fresh)))
+            self.place = np.concatenate((self.place, word_places(fresh).astype(np.int16)))
+            self.again = np.concatenate((self.again, np.zeros(len(new), bool)))
             found[new] = np.arange(len(self.slot), len(self.slot) + len(new))
             self.slot.update(zip(fresh, found[new].tolist(), strict=True))
-            self.length = np.concatenate((self.length, self.encode_words(fresh)[1].astype(np.int32)))
-            self.place = np.concatenate((self.place, word_places(fresh).astype(np.int16)))
         return found
 
 
 @functools.cache
 def word_table(vocabulary: str) -> WordTable:
-    return WordTable(byte_encoder(vocabulary).memory.encode_words)
+    return WordTable(byte_encoder(vocabulary).count_words)
 
 
 def vectors_and_tokens(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
@@ -118,13 +162,13 @@ def vectors_and_tokens(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np
     Texts that cannot be cut into words are counted whole.
     """
     encoder, table = byte_encoder(vocabulary), word_table(vocabulary)
-    words, codes, per_text = word_codes(texts)
+    words, codes, per_text = blank_words(texts)
     slots = table.slots(words)
     counts = run_sums(table.length[slots][codes], per_text)
     unsafe = pc.match_substring_regex(texts, BLANK_RUN).to_numpy(zero_copy_only=False)
     for i in np.flatnonzero(unsafe).tolist():
         counts[i] = len(encoder.whole(texts[i].as_py()))
-    return vectors_of(table.place[slots][codes].astype(np.int64), per_text), counts
+    return vectors_of(table.place[slots][codes], per_text), counts
 
 
 def _unit(sums: np.ndarray) -> np.ndarray:
@@ -133,8 +177,12 @@ def _unit(sums: np.ndarray) -> np.ndarray:
 
 def centre_sums(stored: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Sum of the stored vectors nearest to each centre."""
-    own = np.argmax(stored @ centres.T, axis=1)
-    return np.stack([stored[own == k].sum(0, dtype=np.int64) for k in range(len(centres))])
+    sums = np.zeros(centres.shape)
+    for at in range(0, len(stored), SUMMED_ROWS):
+        rows = stored[at:at + SUMMED_ROWS].astype(float)
+        own = np.argmax(rows @ centres.T, axis=1)
+        sums += (own == np.arange(len(centres))[:, None]).astype(float) @ rows  # whole numbers, exact below 2**53
+    return sums.astype(np.int64)
 
 
 def find_centres(starts: np.ndarray, sums_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
@@ -168,7 +216,10 @@ def fit_topics(vectors: np.ndarray, topics: int = TOPICS) -> np.ndarray:
 
 
 def _vectors(batch: pa.RecordBatch, column: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column(column).to_pylist()), "<u2").reshape(-1, WIDTH)
+    held = batch.column(column)
+    offsets = np.frombuffer(held.buffers()[1], np.int64 if pa.types.is_large_binary(held.type) else np.int32)
+    start = int(offsets[held.offset])
+    return np.frombuffer(held.buffers()[2], "<u2", batch.num_rows * WIDTH, start).reshape(-1, WIDTH)
 
 
 def train_topics(stored: DataFrame, topics: int = TOPICS) -> np.ndarray:
@@ -205,18 +256,21 @@ def train_topics(stored: DataFrame, topics: int = TOPICS) -> np.ndarray:
 
 
 def with_vectors_and_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Add ``_vector`` (stored word vector) and ``_tokens`` (ids of the whole text and one end id)."""
-    names = [*docs.columns, "_vector", "_tokens"]
-    at = names.index("text")
-
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, at)):
-            vectors, counts = vectors_and_tokens(as_texts(batch.column(at)), vocabulary)
-            stored = [v.tobytes() for v in stored_vectors(vectors)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(stored, pa.binary()), pa.array(counts + 1)], names=names)
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(add, f"{fields}, _vector binary, _tokens long")
+    """Add ``_vector`` (stored word vector) and ``_tokens`` (ids of the whole text and one end id).
+
+    Only the text passes through Python.
+    """
+
+    @F.arrow_udf("struct<_vector: binary, _tokens: long>")
+    def measured(texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        parts = [vectors_and_tokens(as_texts(part.column(0)), vocabulary) for part in slices(batch, 0)]
+        vectors = [v.tobytes() for part, _ in parts for v in stored_vectors(part)]
+        tokens = np.concatenate([counts for _, counts in parts]) + 1 if parts else np.zeros(0, np.int64)
+        return pa.StructArray.from_arrays([pa.array(vectors, pa.binary()), pa.array(tokens, pa.int64())], names=["_vector", "_tokens"])
+
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.withColumn("_measured", measured("text")).select(*names, "_measured._vector", "_measured._tokens")
 
 
 def with_topic(stored: DataFrame, centres: np.ndarray) -> DataFrame:

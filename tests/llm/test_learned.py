@@ -212,6 +212,20 @@ def test_vectors_and_counts_are_those_of_whole_texts(monkeypatch):
             assert tokens.tolist() == [len(encoder.whole(t)) for t in texts]
 
 
+def test_new_words_alone_are_encoded(monkeypatch):
+    """A word met before costs nothing, with other marks behind it neither; texts are read without a copy."""
+    vocabulary, seen = bytebpe.vocabulary_path(), []
+    encoder = bytebpe.byte_encoder(vocabulary)
+    table = mixture.WordTable(lambda words: seen.extend(words) or encoder.count_words(words))
+    monkeypatch.setattr(mixture, "word_table", lambda _: table)
+    for texts in (["a one, two", None, " one. two!"], ["x one; 's. é)  3.", "two.", ""], [], ["q one?! two"]):
+        cut = as_texts(pa.array(["skipped", *texts], pa.string()).slice(1))
+        vectors, tokens = mixture.vectors_and_tokens(cut, vocabulary)
+        assert tokens.tolist() == [len(encoder.whole(t or "")) for t in texts]
+        assert np.allclose(vectors, mixture.word_vectors(cut))
+    assert seen.count(" one") == 1 and " one," not in seen and " one." not in seen
+
+
 def test_mixture_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (None, "a b", "s", "en"), (3, "", "s", None), (4, "c d", "t", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
