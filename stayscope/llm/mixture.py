@@ -122,32 +122,33 @@ class WordTable:
         self.length, self.place = self.length[kept], self.place[kept]
         self.again = np.zeros(len(kept), bool)
 
-    def _counts(self, words: Sequence[str]) -> np.ndarray:
-        """Ids of words not met before; only what is before their marks, if new, is encoded."""
-        bare, marks = cut_marks(words)
-        new = list(dict.fromkeys(w for w in (*bare, *marks) if w and w not in self.slot))
-        counts = dict(zip(new, self.count_words(new).tolist(), strict=True))
-        counts[""] = 0
+    def _add(self, words: Sequence[str], lengths: np.ndarray) -> None:
+        self.slot.update(zip(words, range(len(self.slot), len(self.slot) + len(words)), strict=True))
+        self.length = np.concatenate((self.length, lengths.astype(np.int32)))
+        self.place = np.concatenate((self.place, word_places(words).astype(np.int16)))
+        self.again = np.concatenate((self.again, np.zeros(len(words), bool)))
 
-        def count(word: str) -> int:
-            known = counts.get(word)
-            return int(self.length[self.slot[word]]) if known is None else known
-
-        return np.fromiter((count(b) + count(m) for b, m in zip(bare, marks, strict=True)), np.int32, len(words))
+    def _slots(self, words: Sequence[str]) -> np.ndarray:
+        return np.fromiter((self.slot.get(w, -1) for w in words), np.int64, len(words))
 
     def slots(self, words: Sequence[str]) -> np.ndarray:
+        """Slot of each word; of a new one, what is before its marks is encoded only if that is new too."""
         if len(self.slot) > KEPT_WORDS:
             self._thin()
-        found = np.fromiter((self.slot.get(w, -1) for w in words), np.int64, len(words))
+        found, size = self._slots(words), len(self.slot)
         self.again[found[found >= 0]] = True
         new = np.flatnonzero(found < 0)
         if len(new):
             fresh = [words[i] for i in new.tolist()]
-            self.length = np.concatenate((self.length, self._counts(fresh)))
-            self.place = np.concatenate((self.place, word_places(fresh).astype(np.int16)))
-            self.again = np.concatenate((self.again, np.zeros(len(new), bool)))
-            found[new] = np.arange(len(self.slot), len(self.slot) + len(new))
-            self.slot.update(zip(fresh, found[new].tolist(), strict=True))
+            bare, marks = cut_marks(fresh)
+            parts = [w for w in dict.fromkeys((*bare, *marks)) if w not in self.slot]
+            self._add(parts, self.count_words(parts))
+            before, behind = self._slots(bare), self._slots(marks)
+            self.again[before[before < size]] = True
+            self.again[behind[behind < size]] = True
+            marked = np.asarray([bool(m) for m in marks])
+            self._add([w for w, m in zip(fresh, marks, strict=True) if m], (self.length[before] + self.length[behind])[marked])
+            found[new] = self._slots(fresh)
         return found
 
 
