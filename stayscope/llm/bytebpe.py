@@ -21,8 +21,8 @@ BLANK = "Ġ"
 #: Characters given to the encoder at once.
 JOINED_CHARS = 2_000
 
-#: Texts of that size given to it in one call.
-JOINED_TEXTS = 32
+#: The same where words are counted only, and texts of that size given to it in one call.
+COUNTED_CHARS, COUNTED_TEXTS = 500, 128
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -82,9 +82,9 @@ class ByteEncoder:
         lengths = np.zeros(len(words), np.int64)
         joined = np.asarray([i for i, w in enumerate(words) if len(w) > 1 and w[0] == " " and not w[1].isspace()], np.int64)
         chars = np.cumsum([len(words[i]) for i in joined.tolist()], dtype=np.int64)
-        ends = np.flatnonzero(np.diff(chars // JOINED_CHARS, append=-1)) + 1
-        for at in range(0, len(ends), JOINED_TEXTS):
-            some = ends[at:at + JOINED_TEXTS]
+        ends = np.flatnonzero(np.diff(chars // COUNTED_CHARS, append=-1)) + 1
+        for at in range(0, len(ends), COUNTED_TEXTS):
+            some = ends[at:at + COUNTED_TEXTS]
             starts = np.concatenate(([ends[at - 1] if at else 0], some[:-1]))
             texts = ["".join(words[i] for i in joined[a:b].tolist()) for a, b in zip(starts.tolist(), some.tolist(), strict=True)]
             got = [np.asarray(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
