@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayscope.llm.bytebpe import byte_encoder
+from stayscope.llm.bytebpe import byte_encoder, word_parts
 from stayscope.llm.spread import spread_join
 from stayscope.llm.wordwise import BLANK_RUN, as_texts, blank_words, run_sums, slices, word_codes
 from stayscope.session import cut_lineage, release
@@ -37,11 +37,17 @@ CELLS = 200_000
 #: Most cells whose probabilities are broadcast to the rows.
 SENT_CELLS = 10_000
 
-#: Words whose counts and places a Python worker keeps.
-KEPT_WORDS = 500_000
+#: Parts of words whose counts a Python worker keeps, twice.
+KEPT_WORDS = 300_000
 
-#: Marks cut off the end of a word before it is looked up, and the end of the letters they may follow.
-END_MARKS, LATIN_END = ".,;:!?)", "\u0250"
+#: Longest words whose places are found together, and what a byte does to a CRC-32.
+PLACED_BYTES = 48
+CRC_STEPS = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC_STEPS = np.where(CRC_STEPS & 1, (CRC_STEPS >> 1) ^ np.uint32(0xEDB88320), CRC_STEPS >> 1)
+
+#: Bytes of text that are measured at once.
+MEASURED_BYTES = 4_000_000
 
 #: Vectors multiplied with the centres at once.
 SUMMED_ROWS = 2_000
@@ -88,67 +94,67 @@ def word_vectors(texts: pa.Array) -> np.ndarray:
     return vectors_of(word_places(words)[codes], per_text)
 
 
-def cut_marks(words: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Each word without the full stops, commas and so on behind its last letter, and these.
-
-    A byte-pair vocabulary never joins a letter and such a mark. Other words stay whole.
-    """
-    bare = [w.rstrip(END_MARKS) for w in words]
-    bare = [b if b and b[-1] < LATIN_END and b[-1].isalpha() else w for b, w in zip(bare, words, strict=True)]
-    return bare, [w[len(b):] for b, w in zip(bare, words, strict=True)]
+def places_of(words: pa.Array) -> np.ndarray:
+    """``word_places`` of an array of large strings; those in ASCII and U+00C0 to U+00FF are all done at once."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, borders, data = words.buffers()
+    borders = np.frombuffer(borders, np.int64, len(words) + 1, 8 * words.offset)
+    low = borders[0]
+    found = np.frombuffer(b"" if data is None else data, np.uint8)[low:borders[-1]]
+    starts, ends = borders[:-1] - low, borders[1:] - low
+    other = np.concatenate(([0], np.cumsum((found >= 0xC0) & (found != 0xC3))))
+    lower = found + np.uint8(32) * ((found >= 65) & (found <= 90))
+    high = np.flatnonzero(found[:-1] == 0xC3) + 1
+    lower[high] += np.uint8(32) * ((found[high] < 0x9F) & (found[high] != 0x97))
+    padded = np.append(lower, np.uint8(0))
+    starts = starts + ((ends > starts) & (padded[starts] == 32))
+    empty = ends <= starts
+    slow = (other[ends] > other[borders[:-1] - low]) | (ends - starts > PLACED_BYTES)
+    slow |= ~empty & ((padded[starts] < 33) | (padded[ends - 1] < 33))
+    sums, rest = np.full(len(words), 0xFFFFFFFF, np.uint32), np.flatnonzero(~slow & ~empty)
+    at, left = starts[rest], (ends - starts)[rest]
+    order = np.argsort(-left, kind="stable")
+    rest, at, left = rest[order], at[order], left[order]
+    held = sums[rest]
+    for k in range(int(left[0]) if len(left) else 0):
+        n = int(np.searchsorted(-left, -k, "left"))  # words longer than k
+        now = held[:n]
+        held[:n] = CRC_STEPS[(now ^ lower[at[:n] + k]) & 0xFF] ^ (now >> 8)
+    sums[rest] = held
+    places = (~sums).astype(np.int64) % WIDTH
+    places[empty] = WIDTH
+    behind = np.flatnonzero(slow)
+    places[behind] = word_places(words.take(pa.array(behind)).to_pylist())
+    return places
 
 
 class WordTable:
-    """Number of ids and vector place of the words met so far by a Python worker."""
+    """Number of ids of the parts of words met so far by a Python worker.
+
+    The newest ``KEPT_WORDS`` are kept, and as many of those met before them.
+    """
 
     def __init__(self, count_words: Callable[[Sequence[str]], np.ndarray]):
         self.count_words = count_words
-        self.forget()
-
-    def forget(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.length = np.zeros(0, np.int32)
-        self.place = np.zeros(0, np.int16)
-        self.again = np.zeros(0, bool)
-
-    def _thin(self) -> None:
-        """Drop the words that came in one slice only, or all if that is not enough."""
-        kept = np.flatnonzero(self.again)
-        if 2 * len(kept) > KEPT_WORDS:
-            self.forget()
-            return
-        words = list(self.slot)
-        self.slot = {words[k]: i for i, k in enumerate(kept.tolist())}
-        self.length, self.place = self.length[kept], self.place[kept]
-        self.again = np.zeros(len(kept), bool)
-
-    def _add(self, words: Sequence[str], lengths: np.ndarray) -> None:
-        self.slot.update(zip(words, range(len(self.slot), len(self.slot) + len(words)), strict=True))
-        self.length = np.concatenate((self.length, lengths.astype(np.int32)))
-        self.place = np.concatenate((self.place, word_places(words).astype(np.int16)))
-        self.again = np.concatenate((self.again, np.zeros(len(words), bool)))
-
-    def _slots(self, words: Sequence[str]) -> np.ndarray:
-        return np.fromiter((self.slot.get(w, -1) for w in words), np.int64, len(words))
-
-    def slots(self, words: Sequence[str]) -> np.ndarray:
-        """Slot of each word; of a new one, what is before its marks is encoded only if that is new too."""
-        if len(self.slot) > KEPT_WORDS:
-            self._thin()
-        found, size = self._slots(words), len(self.slot)
-        self.again[found[found >= 0]] = True
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            fresh = [words[i] for i in new.tolist()]
-            bare, marks = cut_marks(fresh)
-            parts = [w for w in dict.fromkeys((*bare, *marks)) if w not in self.slot]
-            self._add(parts, self.count_words(parts))
-            before, behind = self._slots(bare), self._slots(marks)
-            self.again[before[before < size]] = True
-            self.again[behind[behind < size]] = True
-            marked = np.asarray([bool(m) for m in marks])
-            self._add([w for w, m in zip(fresh, marks, strict=True) if m], (self.length[before] + self.length[behind])[marked])
-            found[new] = self._slots(fresh)
+        self.young: dict[str, int] = {}
+        self.old: dict[str, int] = {}
+
+    def counts(self, parts: Sequence[str]) -> np.ndarray:
+        """Number of ids of each of different parts; new ones alone are encoded."""
+        if len(self.young) > KEPT_WORDS:
+            self.young, self.old = {}, self.young
+        known = self.young
+        found = np.fromiter((known.get(p, -1) for p in parts), np.int64, len(parts))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            known = self.old
+            names = [parts[i] for i in missing.tolist()]
+            own = np.fromiter((known.get(p, -1) for p in names), np.int64, len(names))
+            new = np.flatnonzero(own < 0)
+            own[new] = self.count_words([names[i] for i in new.tolist()])
+            self.young.update(zip(names, own.tolist(), strict=True))
+            found[missing] = own
         return found
 
 
@@ -158,18 +164,20 @@ def word_table(vocabulary: str) -> WordTable:
 
 
 def vectors_and_tokens(texts: pa.Array, vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word vectors and numbers of ids of all texts, words being split and looked up once for both.
+    """Word vectors and numbers of ids of all texts, words being split once for both.
 
-    Texts that cannot be cut into words are counted whole.
+    A word has the ids of its parts. Texts that cannot be cut into words are counted whole.
     """
     encoder, table = byte_encoder(vocabulary), word_table(vocabulary)
     words, codes, per_text = blank_words(texts)
-    slots = table.slots(words)
-    counts = run_sums(table.length[slots][codes], per_text)
+    parts, per_word = word_parts(words)
+    coded = parts.dictionary_encode()
+    lengths = run_sums(table.counts(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)], per_word)
+    counts = run_sums(lengths.astype(np.int32)[codes], per_text)
     unsafe = pc.match_substring_regex(texts, BLANK_RUN).to_numpy(zero_copy_only=False)
     for i in np.flatnonzero(unsafe).tolist():
         counts[i] = len(encoder.whole(texts[i].as_py()))
-    return vectors_of(table.place[slots][codes], per_text), counts
+    return vectors_of(places_of(words).astype(np.int16)[codes], per_text), counts
 
 
 def _unit(sums: np.ndarray) -> np.ndarray:
@@ -256,6 +264,22 @@ def train_topics(stored: DataFrame, topics: int = TOPICS) -> np.ndarray:
     return find_centres(starts, sums_of)
 
 
+def measured_texts(texts: pa.Array, vocabulary: str) -> pa.Array:
+    """``_vector`` and ``_tokens`` of all texts; vectors are kept as stored, not as numbers in double precision."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    vectors, tokens = [], []
+    for part in slices(batch, 0, MEASURED_BYTES):
+        own, counts = vectors_and_tokens(as_texts(part.column(0)), vocabulary)
+        vectors.append(stored_vectors(own).tobytes())
+        tokens.append(counts + 1)
+    data = pa.py_buffer(b"".join(vectors))
+    ends = pa.py_buffer(np.arange(len(texts) + 1, dtype=np.int64) * (2 * WIDTH))
+    held = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, ends, data]).cast(pa.binary())
+    counted = pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), pa.int64())
+    pa.default_memory_pool().release_unused()  # a worker that waits holds no more than its tables
+    return pa.StructArray.from_arrays([held, counted], names=["_vector", "_tokens"])
+
+
 def with_vectors_and_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Add ``_vector`` (stored word vector) and ``_tokens`` (ids of the whole text and one end id).
 
@@ -264,11 +288,7 @@ def with_vectors_and_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
 
     @F.arrow_udf("struct<_vector: binary, _tokens: long>")
     def measured(texts: pa.Array) -> pa.Array:
-        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        parts = [vectors_and_tokens(as_texts(part.column(0)), vocabulary) for part in slices(batch, 0)]
-        vectors = [v.tobytes() for part, _ in parts for v in stored_vectors(part)]
-        tokens = np.concatenate([counts for _, counts in parts]) + 1 if parts else np.zeros(0, np.int64)
-        return pa.StructArray.from_arrays([pa.array(vectors, pa.binary()), pa.array(tokens, pa.int64())], names=["_vector", "_tokens"])
+        return measured_texts(texts, vocabulary)
 
     names = [F.col(f"`{c}`") for c in docs.columns]
     return docs.withColumn("_measured", measured("text")).select(*names, "_measured._vector", "_measured._tokens")

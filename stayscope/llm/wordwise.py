@@ -49,11 +49,11 @@ class WordMemory:
     """Ids of the words met so far by this Python worker, in one flat array.
 
     ``encode_words`` takes a list of different words and returns their ids one
-    after the other and the number of ids of each.
+    after the other and the number of ids of each. ``kept`` takes the place of ``KEPT_IDS``.
     """
 
-    def __init__(self, encode_words: Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]):
-        self.encode_words = encode_words
+    def __init__(self, encode_words: Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]], kept: int | None = None):
+        self.encode_words, self.kept = encode_words, kept
         self.forget()
 
     def forget(self) -> None:
@@ -66,7 +66,7 @@ class WordMemory:
     def _thin(self) -> None:
         """Drop the words that came in one batch only."""
         kept = np.flatnonzero(self.again)
-        if 2 * int(self.length[kept].sum()) > KEPT_IDS:
+        if 2 * int(self.length[kept].sum()) > (self.kept or KEPT_IDS):
             self.forget()
             return
         words = list(self.slot)
@@ -81,7 +81,7 @@ class WordMemory:
 
         Slots are numbered in the order in which words were first met.
         """
-        if len(self.ids) > KEPT_IDS:
+        if len(self.ids) > (self.kept or KEPT_IDS):
             self._thin()
         known = self.slot
         found = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
@@ -108,13 +108,13 @@ def as_texts(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with at most ``SLICE_BYTES`` of text each, one row at least."""
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with at most ``most`` bytes of text each, one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, at = np.cumsum(sizes), 0
     while at < batch.num_rows:
         done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
         yield batch.slice(at, to - at)
         at = to
 
@@ -136,8 +136,8 @@ def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return words, codes, per_text
 
 
-def blank_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """What ``word_codes`` gives, the distinct words in another order: cut before every blank, in place."""
+def blank_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What ``word_codes`` gives, the distinct words in another order and as an array: cut before every blank, in place."""
     _, borders, data = texts.buffers()
     borders = np.frombuffer(borders, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
     data = pa.py_buffer(b"") if data is None else data
@@ -146,7 +146,7 @@ def blank_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     starts = np.append(np.insert(blanks, before[:-1], borders[:-1]), borders[-1])
     words = pa.Array.from_buffers(pa.large_string(), len(starts) - 1, [None, pa.py_buffer(starts), data])
     coded = words.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), np.diff(before) + 1
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.diff(before) + 1
 
 
 def encode_texts(

@@ -226,6 +226,26 @@ def test_new_words_alone_are_encoded(monkeypatch):
     assert seen.count(" one") == 1 and " one," not in seen and " one." not in seen
 
 
+def test_words_are_cut_between_letters_marks_and_a_line_end(monkeypatch):
+    """Parts alone are encoded, with the counts of whole texts; words with anything else are encoded whole."""
+    vocabulary, seen = bytebpe.vocabulary_path(), []
+    encoder = bytebpe.byte_encoder(vocabulary)
+    table = mixture.WordTable(lambda words: seen.extend(words) or encoder.count_words(words))
+    monkeypatch.setattr(mixture, "word_table", lambda _: table)
+    odd = ["a one.\nTwo, b", "q Été!\nÉté one.", "x×y z÷. \n\nq\n", "\nq a\n .b. , don't 1.2 a\tb\n", "Σας. İx, ªb. ßÞ\x00 ", "e\u0301. <|endoftext|>.", "w" * 90 + ". É" * 60]
+    rng = np.random.default_rng(3)
+    signs = list("abÉé×ßΣİ漢1'") + [" ", " ", " a", "\n", ".", ",", ".\n", "\t", "\u00a0", "\x1c"]
+    texts = odd + ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(2_000)]
+    cut = as_texts(pa.array(texts))
+    vectors, tokens = mixture.vectors_and_tokens(cut, vocabulary)
+    assert tokens.tolist() == [len(encoder.whole(t)) for t in texts]
+    assert np.array_equal(vectors, mixture.word_vectors(cut))
+    assert seen.count(" one") == 1 and seen.count("Two") == 1 and not [w for w in seen if "one.\n" in w or "!\n" in w]
+    measured = mixture.measured_texts(pa.array(texts), vocabulary)
+    assert measured.field(0).to_pylist() == [v.tobytes() for v in mixture.stored_vectors(vectors)]
+    assert len(mixture.measured_texts(pa.array([], pa.string()), vocabulary)) == 0
+
+
 def test_mixture_odd_rows(spark):
     rows = [(1, None, None, None), (1, None, None, None), (None, "a b", "s", "en"), (3, "", "s", None), (4, "c d", "t", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
