@@ -30,6 +30,9 @@ from stayscope.llm.wordwise import WordMemory, as_texts, encode_texts, slices
 VOCABULARY = "piece_bpe_32k.model"
 BLANK = "▁"
 
+#: Ids of words that a Python worker keeps, and bytes of text that are encoded at once.
+KEPT_IDS, SLICE_BYTES = 2_000_000, 2_000_000
+
 #: What an unknown character costs beyond the worst piece.
 UNKNOWN = 10.0
 
@@ -66,7 +69,7 @@ class PieceEncoder:
                 self.bytes_of[i] = piece.replace(BLANK, " ").encode()
         self.automaton.make_automaton()
         self.unknown = worst - UNKNOWN
-        self.memory = WordMemory(self._encode_words)
+        self.memory = WordMemory(self._encode_words, KEPT_IDS)
 
     def best_path(self, text: str) -> list[int]:
         """Ids of the best path over a normalised text."""
@@ -144,7 +147,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text
         encoder = piece_encoder(vocabulary)
         is_byte = np.zeros(len(encoder.pieces), np.int64)
         is_byte[encoder.byte_id] = 1
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             texts = as_texts(batch.column(1))
             ids, counts = encoder.encode(texts)
             ends = np.cumsum(counts)

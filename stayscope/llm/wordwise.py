@@ -109,7 +109,10 @@ def as_texts(column) -> pa.Array:
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows with at most ``most`` bytes of text each, one row at least."""
+    """The batch in runs of rows with at most ``most`` bytes of text each, one row at least.
+
+    After them, what Arrow has freed goes back to the system.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, at = np.cumsum(sizes), 0
     while at < batch.num_rows:
@@ -117,6 +120,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no more than it needs
 
 
 def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

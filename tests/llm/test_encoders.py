@@ -64,6 +64,21 @@ def test_word_memory_is_thinned_without_changing_ids(monkeypatch):
         assert ids.tolist() == [i for t in texts for i in encoder.whole(t)]
 
 
+def test_pieces_keep_few_words_and_small_slices(spark, monkeypatch):
+    """The ids of a worker's words have a bound of their own, and texts are encoded in small runs; nothing is cut."""
+    monkeypatch.setattr(pieces, "KEPT_IDS", 30)
+    encoder, plain = pieces.PieceEncoder(PIECES), pieces.piece_encoder(PIECES)
+    for k in range(6):
+        texts = [f"same words and number{k} {k * 7} again", "same words"]
+        ids, _ = encoder.encode(pa.array(texts, pa.large_string()))
+        assert ids.tolist() == [i for t in texts for i in plain.whole(t)]
+        assert len(encoder.memory.ids) < 60
+    docs = documents(spark)
+    whole = sorted(map(str, encode_pieces(docs, PIECES).collect()))
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 10)
+    assert sorted(map(str, encode_pieces(docs, PIECES).collect())) == whole
+
+
 def test_packed_ranks_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
