@@ -45,6 +45,9 @@ FEW = 3
 #: Neighbours beyond which a node is a hub, and the places its label is sent to.
 HUB, SALTS = 1_000, 16
 
+#: Rounds of components in which labels go to neighbours only: stars of pivots need little more.
+NEAR_ROUNDS = 2
+
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -199,51 +202,74 @@ def _set(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return own, np.frombuffer(counts, "<u4") if counts else np.ones(len(own), np.int64)
 
 
-def _links_of_block(members: list[dict], similar: float) -> list[tuple[bytes, bytes, float]]:
+def _links_of_block(members: list[dict], similar: float) -> list[tuple[bytes, bytes, bytes, bytes, float]]:
     """Links between the texts of a block (side 0) and those asked for (side 1), one
-    for each text asked for and each other class: connection is all that counts."""
+    for each text asked for and each other class: connection is all that counts.
+
+    Probability Jaccard is at most the sum over common shingles of the lesser of both shares in
+    all counts, so it is worked out only where that sum reaches ``similar``."""
     block = [m for m in members if m["side"] == 0]
     sets = [_set(m["hashes"], m["counts"]) for m in block]
     sizes = np.array([len(s) for s, _ in sets], np.int64)
     every = np.concatenate([s for s, _ in sets])
     labels = [m["label"] for m in block]
+    _, class_of = np.unique(np.array(labels, object), return_inverse=True)
     plain = np.array([not m["counts"] for m in block])
     asked = [m for m in members if m["side"] == 1]
+    weighted = not plain.all() or any(m["counts"] for m in asked)
+    shares = np.concatenate([c / max(1, c.sum()) for _, c in sets]) if weighted else None
     # the shingles of the block are numbered once, unless few texts are asked for
     different, where = np.unique(every, return_inverse=True) if len(asked) > FEW else (None, None)
     out = []
     for m in asked:
+        foreign = np.array([label != m["label"] for label in labels], bool)
+        if not foreign.any():
+            continue
         own = _set(m["hashes"], m["counts"])
         if different is None:
             at = np.minimum(np.searchsorted(own[0], every), len(own[0]) - 1)
-            both = run_sums(own[0][at] == every, sizes)
+            hit = own[0][at] == every
+            share = np.where(hit, (own[1] / own[1].sum())[at], 0.0) if weighted else None
         else:
             at = np.minimum(np.searchsorted(different, own[0]), len(different) - 1)
+            met = different[at] == own[0]
             held = np.zeros(len(different), np.int8)
-            held[at[different[at] == own[0]]] = 1
-            both = run_sums(held[where], sizes)
+            held[at[met]] = 1
+            hit = held[where]
+            if weighted:
+                of = np.zeros(len(different))
+                of[at[met]] = (own[1] / own[1].sum())[met]
+                share = of[where]
+        both = run_sums(hit, sizes)
         near = both / np.maximum(1, sizes + len(own[0]) - both)
-        for j in np.flatnonzero((both > 0) & (near < similar) & (~plain | bool(m["counts"]))).tolist():
-            near[j] = similarity(own, sets[j])
-        seen = set()
-        for j in np.flatnonzero(near >= similar).tolist():
-            if labels[j] != m["label"] and labels[j] not in seen:
-                seen.add(labels[j])
-                out.append((*sorted((m["node"], block[j]["node"])), float(near[j])))
+        unsure = np.zeros(len(block), bool)
+        if weighted:
+            most = run_sums(np.minimum(share, shares), sizes)
+            unsure = (both > 0) & (near < similar) & (~plain | bool(m["counts"])) & (most >= similar - 1e-6)
+        linked = np.zeros(len(block), bool)  # texts of a class that has its link
+        for j in np.flatnonzero(((near >= similar) | unsure) & foreign).tolist():
+            if linked[j]:
+                continue
+            if unsure[j]:
+                near[j] = similarity(own, sets[j])
+            if near[j] >= similar:
+                linked[class_of == class_of[j]] = True
+                ends = sorted(((m["node"], m["label"]), (block[j]["node"], labels[j])))
+                out.append((ends[0][0], ends[1][0], ends[0][1], ends[1][1], float(near[j])))
     return out
 
 
 def links_in_blocks(against: DataFrame, asked: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links (``a``, ``b``, ``similarity``) across labels between texts ``against`` and texts ``asked`` that
-    share ``key``, ``block`` and ``ask`` (each with ``node`` and ``label``)."""
+    """Links (``a``, ``b``, their labels ``of_a`` and ``of_b``, ``similarity``) across labels between texts
+    ``against`` and texts ``asked`` that share ``key``, ``block`` and ``ask`` (each with ``node`` and ``label``)."""
+    names = ["a", "b", "of_a", "of_b", "similarity"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 found = _links_of_block(batch.column(0)[i].as_py(), similar)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.float64()))],
-                    names=["a", "b", "similarity"],
+                    [pa.array([f[k] for f in found], t) for k, t in enumerate([*[pa.binary()] * 4, pa.float64()])], names=names,
                 )
 
     columns = ["key", "block", "ask", "node", "label"]
@@ -251,7 +277,7 @@ def links_in_blocks(against: DataFrame, asked: DataFrame, sets: DataFrame, simil
     gathered = met.groupBy("key", "block", "ask").agg(
         F.collect_list(F.struct("side", "node", "label", "hashes", "counts")).alias("members"), F.min("side").alias("least"), F.max("side").alias("most"),
     )
-    return gathered.filter("least < most").select("members").mapInArrow(run, "a binary, b binary, similarity double")
+    return gathered.filter("least < most").select("members").mapInArrow(run, "a binary, b binary, of_a binary, of_b binary, similarity double")
 
 
 def _parts(texts: Column, shingles: Column) -> Column:
@@ -264,16 +290,16 @@ def _every(count: Column) -> Column:
 
 
 def links_to_pivots(pairs: DataFrame, sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Links among different pairs of a ``pivot`` and a ``node`` (whose set has ``size`` shingles): a pivot's
-    set is sent once per block of its partners."""
-    counts = cut_lineage(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes")))
+    """Links among different pairs of a ``pivot`` (with its label ``top``) and a ``node`` (with its ``label``,
+    whose set has ``size`` shingles): a pivot's set is sent once per block of its partners."""
+    counts = cut_lineage(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sizes"), F.min("top").alias("label")))
     of_pivot = F.col("pivot").alias("key")
     blocks = _parts(F.col("n"), F.col("sizes"))
     nothing = F.lit(0).cast("long").alias("ask")
-    against = spread_join(pairs, counts, "pivot", "n").select(
-        of_pivot, "node", F.col("node").alias("label"), F.pmod(F.xxhash64("node", "pivot"), blocks).alias("block"), nothing,
+    against = spread_join(pairs, counts.drop("label"), "pivot", "n").select(
+        of_pivot, "node", "label", F.pmod(F.xxhash64("node", "pivot"), blocks).alias("block"), nothing,
     )
-    asked = counts.select(of_pivot, F.col("pivot").alias("node"), F.col("pivot").alias("label"), _every(blocks).alias("block"), nothing)
+    asked = counts.select(of_pivot, F.col("pivot").alias("node"), "label", _every(blocks).alias("block"), nothing)
     return links_in_blocks(against, asked, sets, similar)
 
 
@@ -292,7 +318,7 @@ def links_across(open_: DataFrame, sets: DataFrame, similar: float = SIMILAR) ->
 def components(edges: DataFrame) -> DataFrame:
     """Least node of the connected component of every node of ``edges`` (``a``, ``b``).
 
-    Every round takes the least label among the neighbours and then follows the
+    Every round takes the least label among the neighbours and, after the first ``NEAR_ROUNDS``, then follows the
     label's own label; each round is one stored table, and rounds end when nothing changes. A node
     with more than ``HUB`` neighbours sends its label to ``SALTS`` places, between which they are dealt; so
     does every label to its nodes.
@@ -308,27 +334,39 @@ def components(edges: DataFrame) -> DataFrame:
         "a", "b", F.when(F.col("_hub"), F.col("_deal")).otherwise(0).alias("salt"),
     ))
     copies = F.explode(F.sequence(F.lit(0), F.when(F.col("degree") > HUB, SALTS - 1).otherwise(0)))
+    rounds = 0
     while True:
+        rounds += 1
         sent = labels.select(F.col("node").alias("b"), "label", copies.alias("salt"))
-        near = both.join(sent, ["b", "salt"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("seen"))
-        stepped = labels.join(near, "node").select(
-            "node", "degree", F.col("label").alias("old"), F.least("label", "seen").alias("label"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"),
+        near = both.join(sent, ["b", "salt"]).select(F.col("a").alias("node"), "label", F.lit(None).cast("binary").alias("old"), F.lit(None).cast("long").alias("degree"))
+        stepped = near.unionAll(labels.select("node", "label", F.col("label").alias("old"), "degree")).groupBy("node").agg(
+            F.min("label").alias("label"), F.max("old").alias("old"), F.max("degree").alias("degree"),
         )
-        used = labels.select(F.col("label").alias("node")).distinct()
-        jump = labels.join(used, "node", "left_semi").select(F.col("node").alias("label"), F.col("label").alias("further"), every.alias("salt"))
-        moved = cut_lineage(stepped.join(jump, ["label", "salt"]).select("node", "degree", F.least("label", "further").alias("label"), "old"))
+        if rounds > NEAR_ROUNDS:
+            used = labels.select(F.col("label").alias("node")).distinct()
+            jump = labels.join(used, "node", "left_semi").select(F.col("node").alias("label"), F.col("label").alias("further"), every.alias("salt"))
+            stepped = stepped.withColumns({"_before": F.col("old"), "salt": F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")}).join(
+                jump.withColumnRenamed("label", "_before"), ["_before", "salt"],
+            ).select("node", F.least("label", "further").alias("label"), "old", "degree")
+        moved = cut_lineage(stepped)
         labels = moved.select("node", "label", "degree")
         if moved.filter(F.col("old") != F.col("label")).isEmpty():
             return labels.select("node", "label")
 
 
-def _grown(edges: DataFrame, labels: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and labels with the links found since; the labels stand if there are none."""
+def _grown(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels with the links found since, whose classes are joined by their labels; the labels stand if there are none."""
     found = cut_lineage(found)
     if found.isEmpty():
-        return edges, labels
-    edges = edges.unionAll(found)
-    return edges, components(edges)
+        return labels
+    moved = components(found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    further = moved.select(
+        F.col("node").alias("label"), F.col("label").alias("further"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    again = labels.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(further, ["label", "salt"], "left").select(
+        "node", F.coalesce("further", "label").alias("label"),
+    )
+    return cut_lineage(again.unionAll(moved.join(labels, "node", "left_anti")))
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -355,15 +393,15 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return pairs.withColumns({"a": F.least(one, other), "b": F.greatest(one, other)})
 
     tried = cut_lineage(sides(members.filter(F.col("node") != F.col("low")).select(F.col("low").alias("pivot"), "node", "size").distinct()))
-    edges = cut_lineage(links_to_pivots(tried, sets))
-    labels = components(edges)
+    alone = tried.withColumns({"top": F.col("pivot"), "label": F.col("node")})
+    labels = components(cut_lineage(links_to_pivots(alone, sets)))
 
     # the other end of every bucket that still holds several classes
     tops = _labelled(buckets.select(F.col("high").alias("node"), "key", "n"), labels).select("key", "n", F.col("node").alias("high"), F.col("label").alias("top"))
     known = cut_lineage(_labelled(members.select("key", "node", "size"), labels))
     other = spread_join(known, cut_lineage(tops), "key", "n").filter(F.col("top") != F.col("label"))
-    second = cut_lineage(sides(other.select(F.col("high").alias("pivot"), "node", "size").distinct()).join(tried, ["a", "b"], "left_anti"))
-    edges, labels = _grown(edges, labels, links_to_pivots(second, sets))
+    second = cut_lineage(sides(other.select(F.col("high").alias("pivot"), "top", "node", "label", "size").distinct()).join(tried, ["a", "b"], "left_anti"))
+    labels = _grown(labels, links_to_pivots(second, sets))
 
     # what is left: the texts outside the largest class of a bucket against all
     known = cut_lineage(_labelled(members.select("key", "node", "size"), labels))
@@ -375,7 +413,7 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.col("sizes") - F.col("main.sizes")).alias("minor_sizes"),
     )
     open_ = cut_lineage(spread_join(known.drop("size"), cut_lineage(several), "key", "n"))
-    _, labels = _grown(edges, labels, links_across(open_, sets))
+    labels = _grown(labels, links_across(open_, sets))
     return sketched.select("doc_id", "node"), labels
 
 

@@ -107,6 +107,32 @@ def test_classes_match_brute_force(spark, monkeypatch, texts_of_block, shingles_
     assert probminhash.near_duplicate_classes(docs.limit(0)).count() == 0
 
 
+def test_weighted_sets_are_compared_only_where_they_can_be_alike(monkeypatch):
+    """Links of a block are those of all pairs, without working out every pair."""
+    rng = np.random.default_rng(5)
+    base, members = rng.integers(0, 2**63, 200).astype(np.uint64), []
+    for i in range(60):
+        own = np.unique(np.where(rng.random(200) < (0.05 if i % 3 else 0.5), rng.integers(0, 2**63, 200).astype(np.uint64), base))
+        counts = rng.integers(1, 3, len(own)) if i % 4 else np.ones(len(own), np.int64)
+        members.append({
+            "side": int(i >= 40), "node": bytes([i]), "label": bytes([i % 7]), "hashes": own.astype("<u8").tobytes(),
+            "counts": counts.astype("<u4").tobytes() if counts.max() > 1 else b"",
+        })
+    sets = {m["node"]: probminhash._set(m["hashes"], m["counts"]) for m in members}
+    want = {
+        (a["node"], b["label"]) for a in members[40:] for b in members[:40]
+        if a["label"] != b["label"] and probminhash.similarity(sets[a["node"]], sets[b["node"]]) >= probminhash.SIMILAR
+    }
+    calls, similarity = [], probminhash.similarity
+    monkeypatch.setattr(probminhash, "similarity", lambda a, b: calls.append(1) or similarity(a, b))
+    for asked in (members[40:], members[40:42]):
+        found = probminhash._links_of_block(members[:40] + asked, probminhash.SIMILAR)
+        nodes = {m["node"] for m in asked}
+        assert {(a, lb) if a in nodes else (b, la) for a, b, la, lb, _ in found} == {w for w in want if w[0] in nodes}
+        assert len(found) == len({w for w in want if w[0] in nodes}) > 0
+    assert len(calls) < 300  # of 880 pairs
+
+
 def test_chains_are_followed_through_full_buckets(spark):
     """Each text is like the next one only; a large group has members far apart."""
     words = [f"w{i}" for i in range(400)]
