@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stayscope.llm.bytebpe import byte_encoder, word_parts
 from stayscope.llm.spread import spread_join
-from stayscope.llm.wordwise import BLANK_RUN, as_texts, blank_words, run_sums, slices, word_codes
+from stayscope.llm.wordwise import BLANK_RUN, as_texts, blank_words, give_back, run_sums, slices, word_codes
 from stayscope.session import cut_lineage, release
 
 #: Topics, hashed word counts they are found in, and rounds of fitting.
@@ -276,7 +276,7 @@ def measured_texts(texts: pa.Array, vocabulary: str) -> pa.Array:
     ends = pa.py_buffer(np.arange(len(texts) + 1, dtype=np.int64) * (2 * WIDTH))
     held = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, ends, data]).cast(pa.binary())
     counted = pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), pa.int64())
-    pa.default_memory_pool().release_unused()  # a worker that waits holds no more than its tables
+    give_back()
     return pa.StructArray.from_arrays([held, counted], names=["_vector", "_tokens"])
 
 

@@ -39,6 +39,9 @@ BANDS, ROWS = 32, 5
 #: Texts of a block, and different shingles of all its texts together.
 BLOCK, BLOCK_SHINGLES = 256, 65_536
 
+#: Bytes of text whose shingles are made at once.
+SLICE_BYTES = 2_000_000
+
 #: Texts asked for up to which a block is searched in each of their sets.
 FEW = 3
 
@@ -165,7 +168,7 @@ def bands_of(rows: DataFrame) -> DataFrame:
     """Band keys of every row of (``doc_id``, ``node``, ``text``) and the size of its set; no words, no keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 2)):
+        for batch in (part for whole in batches for part in slices(whole, 2, SLICE_BYTES)):
             sets = shingles(as_texts(batch.column(2)))
             filled = [i for i, (s, _) in enumerate(sets) if len(s)]
             again = [i for i in filled if sets[i][1].max() > 1]
@@ -187,7 +190,7 @@ def sets_of(rows: DataFrame) -> DataFrame:
     """Shingle sets of (``node``, ``text``) as little-endian arrays; counts only where one repeats."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, 1)):
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             sets = shingles(as_texts(batch.column(1)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([s.astype("<u8").tobytes() for s, _ in sets], pa.binary()),

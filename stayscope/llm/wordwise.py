@@ -12,6 +12,8 @@ encoder on whole texts.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -108,10 +110,27 @@ def as_texts(column) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    """``malloc_trim`` of the C library, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Return to the system what Arrow, numpy and Python have freed; a worker that waits for its next
+    task holds no more than it needs."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with at most ``most`` bytes of text each, one row at least.
 
-    After them, what Arrow has freed goes back to the system.
+    After them, what has been freed goes back to the system.
     """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends, at = np.cumsum(sizes), 0
@@ -120,7 +139,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
         to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
         yield batch.slice(at, to - at)
         at = to
-    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no more than it needs
+    give_back()
 
 
 def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
