@@ -1,7 +1,9 @@
 """Sources, sinks, registry, streaming and whole runs on small tables."""
 
 import datetime as dt
+import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +128,73 @@ def test_checksums(spark, tmp_path):
     assert ok == {"a.txt": True, "b.txt": False, "c.txt": True}
 
 
+@pytest.fixture
+def small_splits(spark, monkeypatch):
+    """Files over 1,000 bytes cannot be one row and are cut into splits of 5,000."""
+    monkeypatch.setattr(checksums, "WHOLE", 1000, raising=False)
+    held = {
+        "spark.sql.sources.binaryFile.maxLength": "1000",
+        "spark.sql.files.maxPartitionBytes": "5000",
+        "spark.sql.files.openCostInBytes": "100",
+    }
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    yield
+    for name in held:
+        spark.conf.unset(name)
+
+
+def _same_as_hashlib(records, contents):
+    found = sorted(map(tuple, records.collect()))
+    assert found == sorted(
+        (name, hashlib.md5(data).hexdigest(), hashlib.sha256(data).hexdigest(), len(data))
+        for name, data in contents.items()
+    )
+
+
+def test_checksums_of_files_longer_than_a_row_may_be(spark, tmp_path, small_splits):
+    noise = random.Random(7).randbytes(60_000)
+    contents = {
+        "short": noise[:999],
+        "noise.parquet": noise,
+        "feed at the end": noise[:20_001] + b"\n",
+        "feeds at both ends": b"\n\n" + noise[:20_000] + b"\r\n\n",
+        "only feeds": b"\n" * 12_345,
+        "no feed": noise.replace(b"\n", b"\r"),
+        "feed where a split ends": b"x" * 4999 + b"\n" + b"y" * 5000 + b"\n" + b"z" * 4999,
+        "a[1] {b,c}*?.bin": noise[30_000:],
+    }
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    _same_as_hashlib(checksums.file_checksums(spark, str(tmp_path)), contents)
+
+
+def test_no_task_reads_a_long_file_whole(spark, tmp_path, small_splits, monkeypatch):
+    data = random.Random(8).randbytes(50_000)
+    (tmp_path / "long").write_bytes(data)
+    parts, run_job = [], type(spark.sparkContext).runJob
+    monkeypatch.setattr(
+        type(spark.sparkContext), "runJob",
+        lambda *args: parts.append(got := run_job(*args)) or got,
+    )
+    _same_as_hashlib(checksums.file_checksums(spark, str(tmp_path)), {"long": data})
+    fed = [0] + [part[0]["fed"] for part in parts]
+    assert len(parts) == 10 and max(b - a for a, b in zip(fed, fed[1:], strict=False)) < 8000
+
+
+def test_checksums_of_long_files_that_are_not_lines(spark, tmp_path, monkeypatch):
+    """Names that the reader unpacks, byte order marks and very long lines: each such file is one row."""
+    monkeypatch.setattr(checksums, "WHOLE", 1000)
+    monkeypatch.setattr(checksums, "LONGEST_LINE", 4000)
+    noise = random.Random(9).randbytes(30_000)
+    contents = {"mark": b"\xef\xbb\xbf" + noise, "mark and feed": b"\xef\xbb\xbf" + noise + b"\n",
+                "packed.gz": gzip.compress(noise), "named.gz": noise, "plain": noise,
+                "long line": noise + b"x" * 5000 + noise, "only one": b"x" * 5000}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    _same_as_hashlib(checksums.file_checksums(spark, str(tmp_path)), contents)
+
+
 def test_stored_pipeline_scores_raw_rows_like_the_matrix(spark, run):
     folder, _, comparison = run
     from stayscope.operators.scoring import score_accounts
