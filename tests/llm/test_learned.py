@@ -270,6 +270,66 @@ def test_candidates_come_by_longest_prefix():
         assert (got[(shared > level).any(0)]).all() and not got[~(shared >= level).any(0)].any()
 
 
+def plain_candidates(query, strings, places, wanted, least):
+    """Tree by tree and level by level, every match counted."""
+    mask, total, before = np.zeros(places.shape[1], bool), 0, np.zeros(len(places), int)
+    for level in range(forest.BITS, -1, -1):
+        shared = strings >> (forest.BITS - level) == (query >> (forest.BITS - level))[:, None]
+        matched = shared.sum(1)
+        for t in np.flatnonzero(matched > before):
+            if total >= wanted and level < forest.BITS:
+                break
+            mask[places[t, shared[t]]] = True
+            total += matched[t] - before[t]
+        if total >= wanted:
+            if mask.sum() >= least:
+                break
+            total = 0
+        before = matched
+    return mask
+
+
+@pytest.mark.parametrize("n", [1, 4, 6, 30, 250])
+def test_best_of_a_shard_as_scored_one_by_one(n, monkeypatch):
+    monkeypatch.setattr(forest, "AT_ONCE", 7)
+    rng = np.random.default_rng(n)
+    rows = rng.standard_normal((n, 8))
+    rows[rng.random(n) < 0.4] = rows[0]
+    rows[rng.random(n) < 0.2] *= -1
+    some = forest.scaled(np.concatenate([rows[:20], rng.standard_normal((20, 8))]))
+    rows, ids = forest.scaled(rows), rng.permutation(n) * 3
+    own = np.append(ids[:20], 1_000 + np.arange(20))
+    strings, hashed = (forest.hash_strings(v, forest.planes(8)) for v in (rows, some))
+    places = np.argsort(strings, axis=1, kind="stable").astype(np.uint32)
+    ordered = np.take_along_axis(strings, places.astype(np.int64), 1)
+    lengths = np.sqrt((rows * rows).sum(1))
+    expected = []
+    for i, q in enumerate(some):
+        for wanted, least in ((1, 2), (0.9 * n, 6), (0.9 * n, n), (10**9, 2)):
+            mask = plain_candidates(hashed[:, i], ordered, places, wanted, least)
+            assert (forest.candidates(hashed[:, i], ordered, places, wanted, least) == mask).all()
+        found = np.flatnonzero(plain_candidates(hashed[:, i], ordered, places, forest.ENOUGH * n, 6) & (ids != own[i]))
+        score = (rows[found] * q).sum(1) / (lengths[found] * np.sqrt((q * q).sum()))
+        expected += [(own[i], ids[found[j]], score[j]) for j in np.lexsort((ids[found], -score))[:5]]
+    got = forest.best_of_shard(own, some, hashed, ids, rows, ordered, places, 5)
+    assert list(zip(*(c.tolist() for c in got), strict=True)) == expected
+
+
+def test_pairs_of_shard_and_block_stay_in_their_tasks(spark, monkeypatch):
+    monkeypatch.setattr(forest, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(9)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 6)))], "vec_id long, embedding array<double>")
+    results = []
+    for block, tasks in ((10, 10_000), (10, 20), (1_000, 10_000)):
+        monkeypatch.setattr(forest, "BLOCK_ROWS", block)
+        monkeypatch.setattr(forest, "SEARCH_TASKS", tasks)
+        got = forest.nearest(table, table.filter("vec_id % 4 = 0"))
+        # the size of all pairs is not known when the plan is made, so none may be broadcast
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        results.append(sorted(map(tuple, got.collect())))
+    assert len(results[0]) == 500 and results[0] == results[1] == results[2]
+
+
 def brute(ids, vectors, query, k=5):
     i = ids.index(query)
     v = np.array(vectors, float)
