@@ -104,7 +104,8 @@ def group_metrics(
 
 
 def fairness_summary(groups: DataFrame) -> DataFrame:
-    """Disparity indicators and verdicts per attribute."""
+    """Disparity indicators and verdicts per attribute; groups without a column ``n`` have no sizes."""
+    n = F.col("n") if "n" in groups.columns else F.lit(None).cast("long")
 
     def gap(column: str) -> Column:
         return F.max(column) - F.min(column)
@@ -126,8 +127,8 @@ def fairness_summary(groups: DataFrame) -> DataFrame:
         groups.groupBy("attribute")
         .agg(
             F.count("*").alias("n_groups"),
-            F.min("n").alias("n_smallest"),
-            F.max("n").alias("n_largest"),
+            F.min(n).alias("n_smallest"),
+            F.max(n).alias("n_largest"),
             _ratio(F.min("selection_rate"), F.max("selection_rate")).alias("disparate_impact"),
             gap("selection_rate").alias("demographic_parity_diff"),
             F.greatest(gap("tpr"), gap("fpr")).alias("equalized_odds_diff"),
